@@ -50,9 +50,9 @@ def words_of(text: Column) -> Column:
 
 def bigrams_of(words: Column) -> Column:
     """The set of pairs of neighbouring words, as strings."""
-    n = F.size(words)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.when(n >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    follow = F.slice(words, F.lit(2), F.lit(2147483647))
+    pairs = F.zip_with(words, follow, lambda a, b: F.concat(a, F.lit(" "), b))  # the last pair is null
+    return F.array_distinct(F.array_compact(pairs))
 
 
 def _plain_bigrams(text: str) -> set[str]:
@@ -80,17 +80,13 @@ def scan(
     least, most = (min(map(len, grams.values()), default=1), max(map(len, grams.values()), default=0))
     segments = docs.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("segment", "__line"))
     sized = (
-        segments
-        .withColumn("__words", words_of(F.col("__line")))
-        .where(F.size("__words") >= max(2, int(low * least)))
-        .withColumn("__grams", bigrams_of(F.col("__words")))
-        .withColumn("__b", F.size("__grams"))
+        segments.select(id_col, "segment", bigrams_of(words_of(F.col("__line"))).alias("__grams"))
+        .select(id_col, "segment", F.explode("__grams").alias("__gram"), F.size("__grams").alias("__b"))
         .where(F.col("__b").between(max(1, int(low * least)), int(most * high) + 1))
     )
     hit = F.broadcast(library)
     pairs = (
-        sized.select(id_col, "segment", "__b", F.explode("__grams").alias("__gram"))
-        .join(hit, "__gram")
+        sized.join(hit, "__gram")
         .where((F.col("__a") >= low * F.col("__b")) & (F.col("__a") <= high * F.col("__b")))
     )
     return (
