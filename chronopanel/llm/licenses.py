@@ -42,17 +42,10 @@ THRESHOLD = 0.8
 MAX_TEMPLATE_BIGRAMS = 200_000
 
 
-def words_of(text: Column) -> Column:
-    """Normalised words of a text."""
+def bigrams_of(text: Column) -> Column:
+    """The set of pairs of neighbouring words of a normalised text, as strings; one pass of a pattern with look-ahead."""
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.filter(F.split(plain, " "), lambda w: w != "")
-
-
-def bigrams_of(words: Column) -> Column:
-    """The set of pairs of neighbouring words, as strings."""
-    follow = F.slice(words, F.lit(2), F.lit(2147483647))
-    pairs = F.zip_with(words, follow, lambda a, b: F.concat(a, F.lit(" "), b))  # the last pair is null
-    return F.array_distinct(F.array_compact(pairs))
+    return F.array_distinct(F.regexp_extract_all(plain, F.lit(r"(?<![^ ])(?=([^ ]+ [^ ]+))"), F.lit(1)))
 
 
 def _plain_bigrams(text: str) -> set[str]:
@@ -78,11 +71,13 @@ def scan(
     library = spark.createDataFrame(rows or [("", 0, "")], "license string, __a int, __gram string")
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = (min(map(len, grams.values()), default=1), max(map(len, grams.values()), default=0))
-    segments = docs.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("segment", "__line"))
+    # the sets come out of the generator, so that no later filter computes them again
+    lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), bigrams_of)
     sized = (
-        segments.select(id_col, "segment", bigrams_of(words_of(F.col("__line"))).alias("__grams"))
-        .select(id_col, "segment", F.explode("__grams").alias("__gram"), F.size("__grams").alias("__b"))
+        docs.select(F.col(id_col), F.posexplode(lines).alias("segment", "__grams"))
+        .withColumn("__b", F.size("__grams"))
         .where(F.col("__b").between(max(1, int(low * least)), int(most * high) + 1))
+        .select(id_col, "segment", "__b", F.explode("__grams").alias("__gram"))
     )
     hit = F.broadcast(library)
     pairs = (
