@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, mixing
+from . import exact_dedup, licenses, mixing, packing, quality
 
-MODULES = [exact_dedup, mixing, licenses]
+MODULES = [packing, exact_dedup, quality, mixing, licenses]
 
 
 def queries() -> dict:
