@@ -31,7 +31,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
 #: Source totals come to the driver, so their number has a bound; more raise an error.
 MAX_SOURCES = 200_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 NEWTON_STEPS = 60
 
 

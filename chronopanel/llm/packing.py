@@ -32,7 +32,7 @@ from .common import documents, written
 
 CAPACITY = 1024
 END_ID = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 #: Tokenised words that a worker remembers.
 CACHE_WORDS = 300_000
 _ODD_SPACE = re.compile(r" \s|\s ")

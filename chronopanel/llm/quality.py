@@ -2,7 +2,8 @@
 
 Two dictionaries are built from labelled training texts, one a class. A text's score comes from the difference of its
 compressed sizes under both, divided by its length, and is calibrated by logistic regression on labelled training
-texts that neither dictionary has seen.
+texts that neither dictionary has seen. The mean of both sizes, divided by the length, is the second input of the calibration: a text
+that repeats itself is small under either dictionary, so that its difference alone says little.
 
 Only the fit is bounded: `sample` labelled rows a class (those with the smallest hash of the id) and `doc_bytes` bytes of
 each in a dictionary. Scoring reads every text whole, in frames of bounded size, in one pass without a shuffle; the broadcast
@@ -29,6 +30,8 @@ DOC_BYTES = 4096
 DICT_BYTES = 112 << 10
 LEVEL = 1
 FRAME = 1 << 20
+#: Compressed size a byte from which the calibration counts a text as unusually small or large.
+NEUTRAL_SIZE = 0.3
 CUT = 0.3
 
 
@@ -72,35 +75,43 @@ class Model:
             self._ready = made
         return self._ready
 
-    def feature(self, text: bytes) -> float:
-        """Bytes saved by the good dictionary against the bad one, for each byte of text."""
+    def feature(self, text: bytes) -> tuple[float, float]:
+        """Bytes saved by the good dictionary against the bad one, and the mean compressed size, for each byte of text."""
         if not text or not self.good or not self.bad:
-            return 0.0
+            return 0.0, NEUTRAL_SIZE
         good, bad = self._compressors()
-        gap = 0
+        gap = both = 0
         for k in range(0, len(text), FRAME):
             part = text[k : k + FRAME]
-            gap += len(bad.compress(part)) - len(good.compress(part))
-        return gap / len(text)
+            a, b = len(good.compress(part)), len(bad.compress(part))
+            gap += b - a
+            both += a + b
+        return gap / len(text), both / (2 * len(text))
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.coef is None:
             return np.full(len(features), self.prior)
-        z = self.coef[0] + self.coef[1] * features
+        z = _terms(features) @ self.coef
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Newton's method for two coefficients; classes are weighted as they occur."""
-    a, w = np.column_stack([np.ones_like(x), x / (x.std() or 1.0)]), np.zeros(2)
-    for _ in range(50):
+def _terms(features: np.ndarray) -> np.ndarray:
+    gap, size = features.reshape(-1, 2).T
+    small = np.maximum(0.0, NEUTRAL_SIZE - size)
+    return np.column_stack([np.ones_like(gap), 10 * gap, 10 * small, 10 * np.maximum(0.0, size - NEUTRAL_SIZE)])
+
+
+def _logistic(a: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Newton's method with a small ridge."""
+    w = np.zeros(a.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
+        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         step = np.linalg.solve(h, a.T @ (y - p) - ridge * w)
-        w += step
+        w += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-10:
             break
-    return np.array([w[0], w[1] / (x.std() or 1.0)])
+    return w
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE, doc_bytes: int = DOC_BYTES, dict_bytes: int = DICT_BYTES) -> Model:
@@ -120,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     model = Model(raw[1][-size:], raw[0][-size:], None, prior)
     held = [(model.feature(t), y) for y in (0, 1) for t in by[y][1::2]]
     x, y = np.array([v for v, _ in held]), np.array([float(v) for _, v in held])
-    coef = _logistic(x, y)
+    coef = _logistic(_terms(x), y)
     # the sample is balanced by design: move the intercept to the share of good labels
     mean = y.mean()
     coef[0] += np.log(prior / (1 - prior)) - np.log(mean / (1 - mean))
@@ -135,7 +146,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            x = np.array([m.feature((t or "").encode()) for t in batch.column(1).to_pylist()], dtype=float)
+            x = np.array([m.feature((t or "").encode()) for t in batch.column(1).to_pylist()], dtype=float).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m.score(x))], names=[id_col, "score"])
 
     kind = dict(docs.dtypes)[id_col]
