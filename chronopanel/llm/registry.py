@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, mixing, packing, quality
+from . import exact_dedup, language, licenses, mixing, packing, quality
 
-MODULES = [packing, exact_dedup, quality, mixing, licenses]
+MODULES = [packing, exact_dedup, quality, mixing, licenses, language]
 
 
 def queries() -> dict:
