@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, quality
+from . import exact_dedup, language, licenses, mixing, packing, quality, scoring
 
-MODULES = [packing, exact_dedup, quality, mixing, licenses, language]
+MODULES = [packing, exact_dedup, quality, mixing, licenses, language, scoring]
 
 
 def queries() -> dict:
