@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, quality, scoring
+from . import exact_dedup, language, licenses, mixing, packing, quality, scoring, simhash
 
-MODULES = [packing, exact_dedup, quality, mixing, licenses, language, scoring]
+MODULES = [simhash, packing, exact_dedup, quality, mixing, licenses, language, scoring]
 
 
 def queries() -> dict:
