@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language, licenses, mixing, packing, quality, scoring, simhash, substrings
+from . import exact_dedup, fingerprints, language, licenses, mixing, packing, quality, scoring, simhash, substrings
 
-MODULES = [simhash, substrings, packing, exact_dedup, quality, mixing, licenses, language, scoring]
+MODULES = [simhash, substrings, packing, exact_dedup, fingerprints, quality, mixing, licenses, language, scoring]
 
 
 def queries() -> dict:
