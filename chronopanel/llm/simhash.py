@@ -213,6 +213,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return marked.join(roots, "fp").select("id", "fp", "component_id")
 
 
+#: Near duplicates of the pipeline: five words, and six bits, so that a text with a few changed words is still found.
+STAGE = {"words": 5, "most": 6, "segments": 8}
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its group of near duplicates. Rows that share an id are one document: they
+    stay if any of them is first. All columns are kept."""
+    groups = near_groups(docs.select(id_col, text_col), id_col, text_col, **(STAGE | rule))
+    rest = groups.where("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("first")).where("NOT first")
+    return docs.join(rest.select(F.col("id").alias(id_col)), id_col, "left_anti")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_groups(documents(spark, sf_dir, "doc_id", "text"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
