@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from . import q_indicators
+
+MODULES = [q_indicators]
 
 
 def queries() -> dict:
