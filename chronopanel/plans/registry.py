@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_indicators
+from . import q_indicators, q_market
 
-MODULES = [q_indicators]
+MODULES = [q_indicators, q_market]
 
 
 def queries() -> dict:
