@@ -19,11 +19,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,21 +35,60 @@ from .common import documents, written
 CAPACITY = 1024
 END_ID = 2
 BUCKET_ROWS = 4_000
-#: Tokenised words that a worker remembers.
+#: Entries of a worker's two memories of tokenised words: as they stand between spaces, and as the vocabulary divides them.
 CACHE_WORDS = 300_000
-_ODD_SPACE = re.compile(r" \s|\s ")
+#: How the byte-level vocabulary divides a text, and its characters for bytes that are none: fixed values of the public format.
+_DIVIDE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict[str, _Words] = {}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer and the words it has met in this worker."""
-    if path not in _LOADED:
+class _Words:
+    """Token ids of words, as bytes. The vocabulary starts a new word at a single space between other characters, so a
+    word's ids do not depend on its neighbours."""
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         tk = Tokenizer.from_file(path)
         tk.encode_special_tokens = True
-        _LOADED[path] = tk, {}
+        self.tk, self.divide, self.model = tk, regex.compile(_DIVIDE).findall, tk.model
+        self.spaced: dict[str, bytes] = {}
+        self.single: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        """Ids of any text, by its words as the vocabulary divides them."""
+        single, out = self.single, []
+        for part in self.divide(text):
+            ids = single.get(part)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+                single[part] = ids
+            out.append(ids)
+        if len(single) > 2 * CACHE_WORDS:
+            single.clear()
+        return b"".join(out)
+
+    def encode(self, text: str) -> bytes:
+        first, *words = text.split(" ")
+        spaced = self.spaced
+        new = set(words).difference(spaced)
+        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
+            first, *words = _CUT.split(text)  # other white space beside a space: it stays with its neighbours
+            return b"".join([self.whole(first), *(self.whole(" " + w) for w in words)])
+        if len(spaced) > CACHE_WORDS:
+            spaced.clear()
+            new = set(words)
+        for w in new:
+            spaced[w] = self.whole(" " + w)
+        return b"".join([self.whole(first), *map(spaced.__getitem__, words)])
+
+
+def _words(path: str) -> _Words:
+    if path not in _LOADED:
+        _LOADED[path] = _Words(path)
     return _LOADED[path]
 
 
@@ -58,23 +99,8 @@ def default_vocabulary() -> str:
 
 
 def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
-    """Little-endian 32-bit ids of each text. Texts are cut at single spaces between other characters;
-    the vocabulary starts a new word there, so words can be remembered."""
-    tk, known = _tokenizer(path)
-    split = []
-    for t in texts:
-        words = _CUT.split(t) if _ODD_SPACE.search(t) or t[:1] == " " or t[-1:] == " " else t.split(" ")
-        split.append([words[0], *map(" ".__add__, words[1:])])
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    for words in split:
-        new = [w for w in set(words) if w not in known]
-        if new:
-            for w, e in zip(new, tk.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        yield b"".join(map(known.__getitem__, words))
-        if len(known) > 2 * CACHE_WORDS:
-            known.clear()
+    """Little-endian 32-bit ids of each text."""
+    yield from map(_words(path).encode, texts)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
