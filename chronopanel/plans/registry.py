@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_indicators, q_market
+from . import q_indicators, q_market, q_series
 
-MODULES = [q_indicators, q_market]
+MODULES = [q_indicators, q_market, q_series]
 
 
 def queries() -> dict:
