@@ -13,8 +13,9 @@ def col(c: Column | str) -> Column:
 def rounded(c: Column | str, digits: int = 6) -> Column:
     """Rounding by IEEE operations only, which all engines share. Halves, which means of decimals often are, lie a little
     above the border, so that the order of a sum does not tell."""
-    k = F.lit(float(10**digits))
-    return F.floor(col(c) * k + F.lit(HALF)) / k
+    k = float(10**digits)
+    x = col(c)
+    return F.when(F.abs(x) < F.lit(9e18 / k), F.floor(x * F.lit(k) + F.lit(HALF)) / F.lit(k)).otherwise(x)  # floor gives a long
 
 
 HALF = 0.5001

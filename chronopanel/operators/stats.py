@@ -21,23 +21,24 @@ def slope_no_intercept(df: DataFrame, key: str, x: str, e: str) -> DataFrame:
 
 
 def series_stats(equity: DataFrame, key: str = "run") -> DataFrame:
-    """Total return, CAGR, volatility, Sharpe, Sortino and drawdown figures of each series; two windows over one partitioning."""
+    """Total return, CAGR, volatility, Sharpe, Sortino and drawdown figures of each series; all windows share one partitioning,
+    and the series is read once. A fall is recovered on the next day that sets or meets the high."""
     w = W.partitionBy(key).orderBy("date")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
     e = equity.withColumn("ret", ratio("value", F.lag("value").over(w)) - 1.0).withColumn("high", F.max("value").over(upto))
     e = e.withColumn("dd", F.col("value") / F.col("high") - 1.0).withColumn("peak", F.max(F.when(F.col("value") == F.col("high"), F.col("date"))).over(upto))
+    e = e.withColumn("regained", F.min(F.when(F.col("dd") == 0, F.col("date"))).over(w.rowsBetween(1, W.unboundedFollowing)))
     s = e.groupBy(key).agg(
         F.min("date").alias("start"), F.max("date").alias("end"), F.min_by("value", "date").alias("first"), F.max_by("value", "date").alias("last"),
         F.stddev_samp("ret").alias("dev"), F.avg("ret").alias("mean"), F.stddev_samp(F.when(F.col("ret") < 0, F.col("ret"))).alias("down"),
-        F.min("dd").alias("max_dd"), F.min_by(F.struct("date", "peak", "high"), F.struct("dd", "date")).alias("low"), F.count("*").alias("days"),
+        F.min("dd").alias("max_dd"), F.min_by(F.struct("date", "peak", "regained"), F.struct("dd", "date")).alias("low"), F.count("*").alias("days"),
     )
-    rec = e.join(s.select(key, F.col("low.date").alias("t"), F.col("low.high").alias("h")), key).where((F.col("date") > F.col("t")) & (F.col("value") >= F.col("h"))).groupBy(key).agg(F.min("date").alias("recovered"))
     years = F.datediff("end", "start") / 365.25
     cagr = F.when(years > 0, F.pow(ratio("last", "first"), 1.0 / years) - 1.0)
     vol = F.col("dev") * F.sqrt(F.lit(DAYS))
-    return s.join(rec, key, "left").select(
+    return s.select(
         key, "start", "end", "days", (ratio("last", "first") - 1.0).alias("total"), cagr.alias("cagr"), vol.alias("vol"), ratio(F.col("mean") * DAYS, vol).alias("sharpe"),
-        ratio(F.col("mean") * DAYS, F.col("down") * F.sqrt(F.lit(DAYS))).alias("sortino"), "max_dd", F.col("low.peak").alias("peak"), F.col("low.date").alias("trough"), "recovered",
+        ratio(F.col("mean") * DAYS, F.col("down") * F.sqrt(F.lit(DAYS))).alias("sortino"), "max_dd", F.col("low.peak").alias("peak"), F.col("low.date").alias("trough"), F.col("low.regained").alias("recovered"),
         ratio(cagr, F.abs("max_dd")).alias("calmar"),
     )
 
