@@ -78,17 +78,22 @@ def exact_groups(
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs` without those whose text an earlier id has; a row that occurs several times (id and text)
     stays once. All columns are kept."""
-    sha = F.unhex(F.sha2(normalised(text_col), 256))
-    marks = written(exact_groups(docs, normalised(text_col), id_col, carry={"__sha": F.unhex(F.sha2(F.col("__content"), 256))}), "exact-marks")
-    dropped = marks.where("NOT kept").select(F.col(id_col).alias("__id"), "__sha").distinct()
-    again = marks.where("kept").groupBy(F.col(id_col).alias("__id"), "__sha").count().where("count > 1").select("__id", "__sha")
-    rows = docs.withColumn("__sha", sha)
-    near = F.col(id_col).eqNullSafe(F.col("__id")) & (rows["__sha"] == dropped["__sha"])
-    rows = rows.join(dropped, near, "left_anti")
+    sha = "__sha"
+    while sha in docs.columns:
+        sha += "_"
+    marks = written(exact_groups(docs, normalised(text_col), id_col, carry={"__key": F.unhex(F.sha2(F.col("__content"), 256))}), "exact-marks")
+    dropped = marks.where("NOT kept").select(F.col(id_col).alias("__drop"), "__key").distinct()
+    again = marks.where("kept").groupBy(F.col(id_col).alias("__drop"), "__key").count().where("count > 1").select("__drop", "__key")
+    rows = docs.withColumn(sha, F.unhex(F.sha2(normalised(text_col), 256)))
+
+    def among(side: DataFrame) -> Column:
+        return rows[id_col].eqNullSafe(side["__drop"]) & (rows[sha] == side["__key"])
+
+    rows = rows.join(dropped, among(dropped), "left_anti")
     if not again.isEmpty():
-        twice = rows.join(again, [F.col(id_col).eqNullSafe(F.col("__id")), rows["__sha"] == again["__sha"]], "left_semi").dropDuplicates([id_col, "__sha"])
-        rows = rows.join(again, [F.col(id_col).eqNullSafe(F.col("__id")), rows["__sha"] == again["__sha"]], "left_anti").unionByName(twice)
-    return rows.drop("__sha")
+        twice = rows.join(again, among(again), "left_semi").dropDuplicates([id_col, sha])
+        rows = rows.join(again, among(again), "left_anti").unionByName(twice)
+    return rows.drop(sha)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
