@@ -20,6 +20,7 @@ LEAST_CERTAIN = 0.4
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; one without a language gets the recognised one."""
+    docs = docs.select(*COLUMNS)
     model = language.fit(docs)
     found = language.predict(docs, model, names=("__lang", "__sure"), keep=True)
     return found.where((F.col("__lang") != language.UNKNOWN) & (F.col("__sure") >= LEAST_CERTAIN)).select(
