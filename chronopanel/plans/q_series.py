@@ -411,7 +411,7 @@ rec AS (SELECT s.run, min(e2.date) AS recovered FROM s JOIN e2 ON e2.run = s.run
 
 
 @query("r01_series_stats", sql(f"""SELECT s.run, start, fin AS "end", days, {r('last / first - 1')} AS total, {r("pow(last / first, 1 / (date_diff('day', start, fin) / CAST(365.25 AS DOUBLE))) - 1")} AS cagr, {r('dev * sqrt(CAST(252 AS DOUBLE))')} AS vol,
-{r('mean * 252 / (dev * sqrt(CAST(252 AS DOUBLE)))')} AS sharpe, {r('mean * 252 / (down * sqrt(CAST(252 AS DOUBLE)))')} AS sortino, {r('max_dd')} AS max_dd, peak, trough, recovered, {r("(pow(last / first, 1 / (date_diff('day', start, fin) / CAST(365.25 AS DOUBLE))) - 1) / abs(max_dd)")} AS calmar FROM s LEFT JOIN rec USING (run)""", *BRAND, EQ, _ST))
+{r('mean * 252 / (dev * sqrt(CAST(252 AS DOUBLE)))')} AS sharpe, {r('mean * 252 / (down * sqrt(CAST(252 AS DOUBLE)))')} AS sortino, {r('max_dd')} AS max_dd, peak, trough, recovered, {r("(pow(last / first, 1 / (date_diff('day', start, fin) / CAST(365.25 AS DOUBLE))) - 1) / nullif(abs(max_dd), 0)")} AS calmar FROM s LEFT JOIN rec USING (run)""", *BRAND, EQ, _ST))
 def r01(spark, sf):
     return rounded_all(stats.series_stats(equity_like(spark, sf)))
 
