@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -53,6 +54,7 @@ atexit.register(_Tables.clear)
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: the rows as a Parquet table in the shared folder, which outlives any executor."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark)}/chronopanel-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _Tables.paths.append((weakref.ref(spark), path))
@@ -60,6 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    bounded_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df
 
@@ -73,9 +76,35 @@ def parts(spark: SparkSession, least: int = 2) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def lower_ascii(text: str) -> str:
-    return text.translate(_LOWER)
+#: Arrow batches of texts go to Python workers in pieces of this size at most, unless the session asks for smaller ones.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds what a task holds between JVM and Python, whatever the length of the texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Gives freed memory of a worker back to the system: other processes share an executor's limit."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches in pieces of a few rows, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    release()
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

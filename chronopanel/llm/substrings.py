@@ -29,12 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, parts, written
+from .common import bounded_batches, documents, parts, release, slices, written
 from .induced import MEMORY_ENTRIES, suffixes
 
 WINDOW = 100
 GRAM = 48
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 6 << 20
 _CHUNK = 1 << 18
 _NULL = -(2**63)
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -93,7 +93,8 @@ def _blocks(text: bytes, window: int, gram: int):
     count = np.diff(np.concatenate([j0, [len(at)]]))
     end = j0 + count - 1 + window
     body = _mix((s[end] - s[j0]) * q[j0] + count.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-    return h[at[j0]], body, j0, count
+    # smallest hashes are small: mixed again, they deal evenly
+    return _mix(h[at[j0]] * _R), body, j0, count
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -127,7 +128,7 @@ class _Group:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Group]:
     g = _Group()
-    for batch in batches:
+    for batch in slices(batches):
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             t = (t or "").encode("utf-8", "surrogatepass")
             if g.n and g.n + len(t) > GROUP_BYTES:
@@ -172,7 +173,9 @@ def _ask(reducers: int, window: int, gram: int):
                 if y > x:
                     anchor = np.diff(cols[0][x:y], prepend=np.uint64(0))
                     rows.append((r, key, 0, _pack(anchor, *[c[x:y] for c in cols[1:]])))
+            del cols, order
             yield from _rows(_PLACES_ARROW, rows)
+            release()
 
     return run
 
@@ -374,6 +377,7 @@ def dedup(
 
     `stable`: the table can be read twice with equal partitions (a bare file scan); else it is written first.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if not stable:
         rows = written(rows, "sub-texts")
