@@ -1 +1,26 @@
 """Point-in-time panel analytics built on Spark DataFrames."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Sends this package to the Python workers of a session, once; wherever the driver was started from."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="chronopanel-"), "chronopanel.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("chronopanel", os.path.relpath(full, home)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
