@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronopanel import ship
 from chronopanel.llm import exact_dedup, language, mixing, packing, simhash
 from chronopanel.llm.common import documents, written
 
@@ -20,6 +21,7 @@ LEAST_CERTAIN = 0.4
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; one without a language gets the recognised one."""
+    ship(spark)
     docs = docs.select(*COLUMNS)
     model = language.fit(docs)
     found = language.predict(docs, model, names=("__lang", "__sure"), keep=True)
@@ -30,16 +32,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of each group of equal texts."""
+    ship(spark)
     return exact_dedup.keep_first(docs.select(*COLUMNS))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates, the one with the smallest id."""
+    ship(spark)
     return simhash.keep_first(docs.select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix to the target weights takes it (0 to 3 times)."""
+    ship(spark)
     plan = mixing.mix(docs.select("doc_id", "text", "source"), mixing.word_count()).where("copies > 0")
     plan = plan.groupBy("doc_id").agg(F.max("copies").alias("__copies"))
     return (
@@ -52,6 +57,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
+    ship(spark)
     return packing.pack(docs.select("doc_id", "text"), packing.default_vocabulary())
 
 
