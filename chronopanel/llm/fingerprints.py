@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, parts
+from .common import bounded_batches, documents, parts, slices
 
 BINS = 128
 _FIRST = -(2**63)
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fingerprint): the signature as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=[id_col, "fingerprint"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, fingerprint binary")
@@ -103,6 +103,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (range, ghost, id, text) sorted within ranges; a ghost is the first text of the next range (after the last: of the first)."""
+    bounded_batches(docs.sparkSession)
     n = parts(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("id"), F.col(text_col).alias("text"))
     ids = rows.select("id")
@@ -179,7 +180,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         names = [x.split()[0] for x in _OUT.split(", ")]
         at, doc, last, done = None, None, None, False
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for where, is_ghost, i, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if where == at and done:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, fold
+from .common import bounded_batches, documents, fold, slices
 
 WINDOW = 64
 HIDDEN = 8
@@ -219,11 +219,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, slice_chars: int = SLICE, steps:
 
 def predict(docs: DataFrame, net: Network, text_col: str = "text", id_col: str = "doc_id", names: tuple[str, str] = ("lang_pred", "score"), keep: bool = False) -> DataFrame:
     """Predicted language and its probability; with `keep`, beside all columns of the input."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             good = [bool(t and model.langs and _LETTER.search(t)) for t in texts]
             langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))

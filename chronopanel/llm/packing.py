@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import bounded_batches, documents, slices, written
 
 CAPACITY = 1024
 END_ID = 2
 BUCKET_ROWS = 4_000
 #: Entries of a worker's two memories of tokenised words: as they stand between spaces, and as the vocabulary divides them.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: How the byte-level vocabulary divides a text, and its characters for bytes that are none: fixed values of the public format.
 _DIVIDE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -108,10 +108,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Documents as pieces of at most `capacity` tokens."""
+    bounded_batches(docs.sparkSession)
     last = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc, ids in zip(batch.column(0).to_pylist(), token_bytes(texts, path), strict=True):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FOLDS, documents, fold
+from .common import FOLDS, bounded_batches, documents, fold, slices
 
 SAMPLE = 1200
 DOC_BYTES = 4096
@@ -141,11 +141,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """id and score of every row."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([m.feature((t or "").encode()) for t in batch.column(1).to_pylist()], dtype=float).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m.score(x))], names=[id_col, "score"])
 

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, fold, parts, written
+from .common import bounded_batches, documents, fold, parts, slices, written
 
 STRENGTH = 0.35
 SOFT = 20.0
@@ -122,7 +122,7 @@ class _Group:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, _Group]]:
     open_ = {True: _Group(), False: _Group()}
-    for batch in batches:
+    for batch in slices(batches):
         for doc_id, text, held in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
             tok = tokens(text)
             g = open_[held]
@@ -237,6 +237,7 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
 
     `stable`: the table can be read twice with equal partitions (a bare file scan); else it is written first.
     """
+    bounded_batches(docs.sparkSession)
     held_out = fold(id_col) == 1 if held_out is None else held_out
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     if not stable:

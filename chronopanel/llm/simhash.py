@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, parts, written
+from .common import bounded_batches, documents, parts, slices, written
 from .components import components
 
 SHINGLE = 4
@@ -68,8 +68,10 @@ def _signed(x: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
     """(id, fp): fingerprints as signed 64-bit numbers."""
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fp = [_signed(fingerprint(t, words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["id", "fp"])
 
