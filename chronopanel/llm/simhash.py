@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import overlap
 from .common import bounded_batches, documents, parts, slices, written
 from .components import components
 
@@ -215,14 +216,31 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return marked.join(roots, "fp").select("id", "fp", "component_id")
 
 
-#: Near duplicates of the pipeline: five words, and six bits, so that a text with a few changed words is still found.
+#: Near duplicates of the pipeline: five words, and six bits besides the similarity of shingle sets.
 STAGE = {"words": 5, "most": 6, "segments": 8}
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its group of near duplicates. Rows that share an id are one document: they
-    stay if any of them is first. All columns are kept."""
-    groups = near_groups(docs.select(id_col, text_col), id_col, text_col, **(STAGE | rule))
+def overlap_groups(docs: DataFrame, id_col: str, text_col: str, words: int, most: int, least: float, **tuning) -> DataFrame:
+    """(id, component_id) of every row: components over links by fingerprints and links by the similarity of shingle sets."""
+    groups = written(near_groups(docs, id_col, text_col, words, most, **tuning).where("component_id IS NOT NULL"), "near-groups")
+    sets, links = overlap.links(docs, id_col, text_col, words, least)
+    # nodes are fingerprint groups and shingle sets, marked apart; a row ties its group to its set
+    group, shingle_set = F.xxhash64(F.lit("group"), "component_id"), F.xxhash64(F.lit("set"), "sid")
+    ties = groups.where("id IS NOT NULL").select("id", "component_id").join(sets, "id").select(group.alias("a"), shingle_set.alias("b")).distinct()
+    linked = links.select(*[F.xxhash64(F.lit("set"), c).alias(c) for c in ("a", "b")])
+    shared = ties.groupBy("b").agg(F.count("*").alias("__n")).where("__n > 1").select("b")
+    useful = ties.join(shared.unionByName(linked.select("b")).unionByName(linked.select(F.col("a").alias("b"))).distinct(), "b", "left_semi")
+    roots = written(components(useful.select("a", "b").unionByName(linked)), "near-roots")
+    rooted = groups.withColumn("__g", group).join(roots, F.col("__g") == F.col("node"), "left").select("id", F.coalesce("root", "__g").alias("root"))
+    lows = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
+    return rooted.join(lows, "root").select("id", "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = overlap.LEAST, **rule) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its group of near duplicates: texts that link by their fingerprints, or whose sets
+    of shingles have a Jaccard similarity of `least` or more. Rows that share an id are one document: they stay if any of them is
+    first. All columns are kept."""
+    groups = overlap_groups(docs.select(id_col, text_col), id_col, text_col, least=least, **(STAGE | rule))
     rest = groups.where("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("first")).where("NOT first")
     return docs.join(rest.select(F.col("id").alias(id_col)), id_col, "left_anti")
 
