@@ -36,15 +36,24 @@ def nearest(a: DataFrame, b: DataFrame, key: str, date: str, ident: str, days: i
     return a.select(F.col(ident).alias("id")).join(best, "id", "left").select("id", "m.other", "m.gap")
 
 
-def mutual_best(pairs: DataFrame, left: str, right: str, cost: list[str], rounds: int = 3) -> DataFrame:
-    """One-to-one matches: pairs that are each other's best are taken, their members leave, and again for some rounds."""
-    out, rest = None, pairs
-    for _ in range(rounds):
+def _kept(df: DataFrame) -> DataFrame:
+    """Cuts lineage, in the folder of checkpoints where one is named."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.localCheckpoint()
+
+
+def mutual_best(pairs: DataFrame, left: str, right: str, cost: list[str]) -> DataFrame:
+    """One-to-one matches: pairs that are each other's best are taken, their members leave, and again until no pair is left. That is the
+    greedy matching by cost, left, right; a chain of pairs, each better than the next, takes a round for each second one."""
+    once = F.row_number().over(W.partitionBy(left, right).orderBy(*cost))
+    rest, out = _kept(pairs.withColumn("__n", once).where("__n = 1").drop("__n")), None
+    while out is None or not rest.isEmpty():
         a = F.row_number().over(W.partitionBy(left).orderBy(*cost, right))
         b = F.row_number().over(W.partitionBy(right).orderBy(*cost, left))
-        got = rest.withColumn("__a", a).withColumn("__b", b).where("__a = 1 AND __b = 1").drop("__a", "__b")
-        out = got if out is None else out.unionByName(got)
-        rest = rest.join(got.select(left), left, "left_anti").join(got.select(right), right, "left_anti")
+        got = _kept(rest.withColumn("__a", a).withColumn("__b", b).where("__a = 1 AND __b = 1").drop("__a", "__b"))
+        if out is not None and got.isEmpty():
+            raise RuntimeError("no pair is both members' best")
+        out = got if out is None else _kept(out.unionByName(got))
+        rest = _kept(rest.join(got.select(left), left, "left_anti").join(got.select(right), right, "left_anti"))
     return out
 
 

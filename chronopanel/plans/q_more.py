@@ -68,7 +68,10 @@ def j15(spark, sf):
     ch = pit.member_changes(snapshots(spark, sf))
     a = ch.where("change = 1").select(F.struct("ticker", "date").alias("l"), F.col("date").alias("d"))
     b = ch.where("change = -1").select(F.struct("ticker", "date").alias("r"), F.col("date").alias("e"))
-    near = a.join(b, F.trunc("d", "month") == F.trunc("e", "month")).withColumn("gap", F.abs(F.datediff("e", "d")))
+    # bands one day wider than the tolerance: a join meets three
+    band = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / 41)
+    a = a.withColumn("band", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: i + band("d"))))
+    near = a.join(b.withColumn("band", band("e")), "band").withColumn("gap", F.abs(F.datediff("e", "d"))).where("gap <= 40").drop("band")
     return reconcile.mutual_best(near, "l", "r", ["gap"]).select("l.ticker", F.col("l.date").alias("date"), F.col("r.ticker").alias("other"), "gap")
 
 
