@@ -29,7 +29,8 @@ def nearest(a: DataFrame, b: DataFrame, key: str, date: str, ident: str, days: i
     width = days + 1
     band = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / width)
     left = a.select(F.col(key).alias("__k"), F.col(date).alias("__d"), F.col(ident).alias("id")).withColumn("__b", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: i + band("__d"))))
-    right = b.select(F.col(key).alias("__k"), F.col(date).alias("__e"), F.col(ident).alias("other")).withColumn("__b", band("__e"))
+    # of the events of a key and date only the smallest id can be nearest: a row meets as many as the window has dates
+    right = b.groupBy(F.col(key).alias("__k"), F.col(date).alias("__e")).agg(F.min(ident).alias("other")).withColumn("__b", band("__e"))
     gap = F.datediff("__e", "__d")
     hits = left.join(right, ["__k", "__b"]).where(F.abs(gap) <= days)
     best = hits.groupBy("id").agg(F.min_by(F.struct("other", gap.alias("gap")), F.struct(F.abs(gap), "__e", "other")).alias("m"))

@@ -254,6 +254,17 @@ def j14(spark, sf):
     return nearest(a, b, "k", "d", "id", 5)
 
 
+@query("j14_nearest_event_all")
+def j14_all(spark, sf):
+    """Every order's nearest line item; `j14_nearest_event` is the part that its SQL covers."""
+    from ..operators.reconcile import nearest
+
+    cust, supp = S.parquet(spark, sf, "customer"), S.parquet(spark, sf, "supplier")
+    a = S.parquet(spark, sf, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("k"), F.col("o_orderdate").cast("date").alias("d"), F.col("o_orderkey").alias("id"))
+    b = S.parquet(spark, sf, "lineitem").join(supp, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("k"), F.col("l_shipdate").cast("date").alias("d"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+    return nearest(a, b, "k", "d", "id", 5)
+
+
 @query("j16_label_candidates", sql("SELECT n_name AS label, coalesce(r1.r_name, r2.r_name) AS best FROM nation LEFT JOIN region r1 ON r1.r_regionkey = n_regionkey AND r1.r_name < 'B' LEFT JOIN region r2 ON r2.r_regionkey = n_regionkey", "z AS (SELECT 1)"))
 def j16(spark, sf):
     """Of several mappings of a label the one with the highest rank."""
