@@ -504,6 +504,14 @@ def u06(spark, sf):
     return pit.replay(ev)
 
 
+@query("u06_replay_all")
+def u06_all(spark, sf):
+    """The whole change log; `u06_replay` is the part that its SQL covers."""
+    o = S.parquet(spark, sf, "orders")
+    ev = o.select(F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderkey").alias("seq"), F.concat(F.lit("c"), (F.col("o_custkey") % 40).cast("string")).alias("added"), F.concat(F.lit("c"), ((F.col("o_custkey") * 7 + 3) % 40).cast("string")).alias("removed"))
+    return pit.replay(ev)
+
+
 @query("w34_intervals", sql('SELECT ticker, start, "end" FROM spans', *MEMBERS))
 def w34(spark, sf):
     return spans(spark, sf)

@@ -21,3 +21,13 @@ def test_j14_every_order(spark, sf, rows):
         want.append((i, near and near[2], near and (near[1] - d).days))
     got = registry.queries()["j14_nearest_event_all"](spark, sf).select("id", "other", "gap").collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(want) == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_u06_every_change(spark, sf, rows):
+    held, after = set(), {}
+    for d, _, cust in sorted(rows("orders", "CAST(o_orderdate AS DATE)", "o_orderkey", "o_custkey")):
+        held.discard(f"c{(cust * 7 + 3) % 40}")
+        held.add(f"c{cust % 40}")
+        after[d] = sorted(held)
+    got = registry.queries()["u06_replay_all"](spark, sf).select("date", "ticker").collect()
+    assert sorted(map(tuple, got)) == sorted((d, x) for d, members in after.items() for x in members)
