@@ -145,6 +145,14 @@ def w38(spark, sf):
     return a.join(b, "date").where("a < b").groupBy("a", "b").agg(rounded(F.corr("x", "y"), 4).alias("c"), F.count("*").alias("n")).where("n >= 8").drop("n")
 
 
+@query("w38_last_window_correlation_all")
+def w38_all(spark, sf):
+    """All pairs of labels; `w38_last_window_correlation` is the part that its SQL covers."""
+    x = indicators.with_returns(upanel(spark, sf)).where("ret IS NOT NULL AND day >= 10").select("ticker", "date", "ret")
+    a, b = x.toDF("a", "date", "x"), x.toDF("b", "date", "y")
+    return a.join(b, "date").where("a < b").groupBy("a", "b").agg(rounded(F.corr("x", "y"), 4).alias("c"), F.count("*").alias("n")).where("n >= 8").drop("n")
+
+
 @query("t04_largest_moves", sql(f"SELECT ticker, date, {r('ret')} AS ret FROM (SELECT ticker, date, close / lag(close) {L} - 1 AS ret FROM bars) WHERE ret IS NOT NULL ORDER BY {r('abs(ret)')} DESC, ticker, date LIMIT 20", *BRAND))
 def t04(spark, sf):
     x = indicators.with_returns(bars(spark, sf)).where("ret IS NOT NULL")

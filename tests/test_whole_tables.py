@@ -1,8 +1,12 @@
 """Queries over whole tables, without SQL, against brute force."""
 
+import math
+from itertools import combinations
+
+import numpy as np
 import pytest
 
-from chronopanel.plans import registry
+from chronopanel.plans import registry, shared
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +35,21 @@ def test_u06_every_change(spark, sf, rows):
         after[d] = sorted(held)
     got = registry.queries()["u06_replay_all"](spark, sf).select("date", "ticker").collect()
     assert sorted(map(tuple, got)) == sorted((d, x) for d, members in after.items() for x in members)
+
+
+def test_w38_every_pair(spark, sf):
+    closes = {}
+    for r in shared.upanel(spark, sf).select("ticker", "date", "day", "close").collect():
+        closes.setdefault(r["ticker"], []).append((r["day"], r["date"], r["close"]))
+    rets = {}
+    for k, days in closes.items():
+        days.sort()
+        rets[k] = {d: c / p - 1 for (_, _, p), (n, d, c) in zip(days, days[1:], strict=False) if n >= 10 and p is not None and c is not None}
+    want = {}
+    for a, b in combinations(sorted(rets), 2):
+        common = sorted(rets[a].keys() & rets[b].keys())
+        if len(common) >= 8:
+            want[a, b] = np.corrcoef([rets[a][d] for d in common], [rets[b][d] for d in common])[0, 1]
+    got = {(r["a"], r["b"]): r["c"] for r in registry.queries()["w38_last_window_correlation_all"](spark, sf).collect()}
+    assert got.keys() == want.keys() and any(b >= "11" for _, b in got)
+    assert all(math.isclose(got[k], want[k], abs_tol=1e-4) for k in want)
