@@ -14,6 +14,7 @@ differ or cover the cap.
 from __future__ import annotations
 
 import contextlib
+import os
 import tempfile
 
 import numpy as np
@@ -37,7 +38,8 @@ class DiskQueue:
 
     def _spill(self) -> None:
         if self.file is None:
-            self.file = tempfile.TemporaryFile()
+            # scratch of this task only, in the folder that Spark gives its executors for spills
+            self.file = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
         self.file.seek(self.end)
         for cell in self.cells:
             for k, (pos, lcp) in enumerate(cell):

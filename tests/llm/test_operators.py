@@ -157,22 +157,37 @@ def passages():
     return rows + [(200 + k, words(rng, 30) + shared[k : 300 + 3 * k] + words(rng, 30)) for k in range(8)] + [(300, shared * 3), (301, "ab" * 400)]
 
 
-@pytest.mark.parametrize("chunk,memory", [(1 << 18, 1 << 20), (256, 50)])
-def test_substrings_against_brute_force(spark, monkeypatch, chunk, memory):
+@pytest.mark.parametrize("chunk,memory,hot,group,shard", [(1 << 18, 1 << 20, 20_000, 6 << 20, 1 << 25), (256, 50, 20_000, 900, 2_000), (256, 50, 1, 900, 10_000), (1 << 18, 50, 1, 6 << 20, 1 << 25)])
+def test_substrings_against_brute_force(spark, monkeypatch, chunk, memory, hot, group, shard):
+    """Small chunks, queues, groups and shards; anchors whose windows are dealt one by one."""
     monkeypatch.setattr(substrings, "_CHUNK", chunk)
+    monkeypatch.setattr(substrings, "GROUP_BYTES", group)
     rows = sorted(passages())
-    got = substrings.dedup(frame(spark, rows), memory=memory).collect()
+    got = substrings.dedup(frame(spark, rows), memory=memory, hot=hot, shard_bytes=shard).collect()
     assert sorted(tuple(r) for r in got) == slow_substrings(rows, 100)
 
 
-def test_substrings_edges(spark, none):
+@pytest.mark.parametrize("partitions", [1, 2, 4])
+def test_substrings_edges(spark, none, partitions):
     assert substrings.dedup(none).count() == 0
-    twice = substrings.dedup(frame(spark, [(5, "q" * 150), (5, "q" * 150), (None, "z" * 120)])).collect()
-    assert sorted((r["n_bytes"], r["n_removed"]) for r in twice) == [(120, 119), (150, 149), (150, 150)]
+    rows = [(5, "q" * 150), (5, "q" * 150), (5, "x"), (None, "z" * 120), (7, "q" * 99), (8, None), (8, None)]
+    twice = substrings.dedup(frame(spark, rows).repartition(partitions)).collect()
+    assert sorted((r["n_bytes"], r["n_removed"]) for r in twice) == [(0, 0), (0, 0), (1, 0), (99, 0), (120, 19 + 100), (150, 149), (150, 150)]
     kept = substrings.dedup(frame(spark, passages()), texts=True)
     assert kept.where("length(kept) + 0 > n_bytes").count() == 0
 
 
+@pytest.mark.parametrize("files", [1, 2, 4])
+def test_registered_substrings_keep_repeated_rows(spark, tmp_path, files):
+    """Equal rows in several files, and a whole corpus, by the registered query."""
+    rows = sorted(passages())
+    spark.createDataFrame([(5, "q" * 150)] * 4, "doc_id long, text string").repartition(files).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    got = substrings.op2_suffix_dedup(spark, str(tmp_path / "a")).collect()
+    assert sorted(r["n_removed"] for r in got) == [149, 150, 150, 150]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(files).write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    assert sorted(tuple(r) for r in substrings.op2_suffix_dedup(spark, str(tmp_path / "b")).collect()) == slow_substrings(rows, 100)
+
+
 @pytest.mark.parametrize("memory", [3, 10**6])
 def test_induced_order_and_prefixes(memory):
     rng = random.Random(memory)
