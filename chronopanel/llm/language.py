@@ -1,40 +1,42 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network is trained in numpy by backpropagation through time on windows of labelled training texts, and labels
-every byte position. A document is cut into windows of `WINDOW` bytes, both directions run over each window from a zero
-state, and the document's probabilities are the means over all its positions. Windows of many
-documents are processed together, so a step of the recurrence is one matrix product for thousands of windows.
-
-Only the fit is bounded: at most `SAMPLE` training documents a language (those with the smallest hash of the id) and `SLICE`
-characters of each. Prediction reads every text whole in one pass without a shuffle; the model is a few kilobytes, whatever the corpus.
-
-Defined results: a null text or one without a letter is `und` with score 0; without any training label every text is `und`;
-ties go to the alphabetically first language; equal texts get equal predictions up to float32 rounding; repeated rows are predicted each; an
-empty table gives an empty result; other columns are ignored.
+The network is trained in numpy by backpropagation through time on windows of whole labelled training texts, and labels
+every byte position. For prediction a document is cut into windows of `WINDOW` bytes; each direction enters a window with the state
+that the `CONTEXT` bytes beside it leave, so positions at an edge see their neighbours across it, and the document's
+probabilities are the means over all its positions. Windows of many documents are processed together, longest first, so a step of the
+recurrence is one matrix product for thousands of windows and little is padding.
+
+Only the fit is bounded: at most `SAMPLE` training documents, dealt over the languages (those with the smallest hash of the id), with
+their whole texts. Prediction reads every text whole in one pass without a shuffle; the model is a few kilobytes, whatever the corpus.
+
+Defined results: a null text or one without a letter (Unicode category L) is `und` with score 0; without any training label every text is `und`;
+ties go to the alphabetically first language; equal texts get equal predictions up to float32 rounding; repeated rows are predicted each, and
+an id with several rows gives one training document; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, documents, fold, slices
 
-WINDOW = 64
+WINDOW = 512
+CONTEXT = 32
+TRAIN_WINDOW = 96
 HIDDEN = 8
-SAMPLE = 300
-SLICE = 1500
+SAMPLE = 1200
 BATCH = 256
 STEPS = 350
-ROWS = 4096  # windows at once in prediction
+ROWS = 1024  # windows at once in prediction
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -163,56 +165,63 @@ class Network:
         k = len(self.langs)
         sums = np.zeros((len(texts), k))
         for owners, x in _windows(texts):
-            q = self.positions(x)
-            q *= (x != 256)[..., None]
+            q = self.positions(x)[CONTEXT : len(x) - CONTEXT]
+            q *= (x[CONTEXT : len(x) - CONTEXT] != 256)[..., None]
             np.add.at(sums, owners, q.sum(axis=0, dtype=np.float64))
         return sums / np.maximum(1, [len(t) for t in texts])[:, None]
 
 
 def _windows(texts: list[bytes], rows: int = ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Windows of the texts in blocks of at most `rows`: owners [B] and bytes [T, B]."""
-    owner, parts, held = [], [], 0
+    """Windows of the texts in blocks of at most `rows`, by length: owners [B] and bytes [CONTEXT + T + CONTEXT, B], 256 outside a text
+    and, before and after the last bytes of a window's context, beyond the window's own length."""
+    owner, start, size = [], [], []
     for i, t in enumerate(texts):
-        a = np.frombuffer(t, np.uint8)
-        n = -(-len(a) // WINDOW)
-        for at in range(0, n, rows):
-            m = min(rows, n - at)
-            block = np.full(m * WINDOW, 256, np.int64)
-            piece = a[at * WINDOW : (at + m) * WINDOW]
-            block[: len(piece)] = piece
-            if held + m > rows:
-                yield np.concatenate(owner), np.ascontiguousarray(np.concatenate(parts).T)
-                owner, parts, held = [], [], 0
-            owner.append(np.full(m, i))
-            parts.append(block.reshape(m, WINDOW))
-            held += m
-    if held:
-        yield np.concatenate(owner), np.ascontiguousarray(np.concatenate(parts).T)
-
-
-def fit(docs: DataFrame, sample: int = SAMPLE, slice_chars: int = SLICE, steps: int = STEPS) -> Network:
-    """Trains on a bounded sample of labelled documents outside the held-out fold."""
+        at = np.arange(0, len(t), WINDOW)
+        owner.append(np.full(len(at), i))
+        start.append(at)
+        size.append(np.minimum(WINDOW, len(t) - at))
+    if not texts:
+        return
+    owner, start, size = map(np.concatenate, (owner, start, size))
+    order = np.argsort(-size, kind="stable")
+    for k in range(0, len(order), rows):
+        own = order[k : k + rows]
+        block = np.full((len(own), int(size[own[0]]) + 2 * CONTEXT), 256, np.int64)
+        for line, w in zip(block, own.tolist(), strict=True):
+            a, n, text = int(start[w]), int(size[w]), texts[owner[w]]
+            low, high = max(0, a - CONTEXT), min(len(text), a + n + CONTEXT)
+            line[CONTEXT - (a - low) : CONTEXT + high - a] = np.frombuffer(text, np.uint8, high - low, low)
+        yield owner[own], np.ascontiguousarray(block.T)
+
+
+def training_windows(text: bytes) -> np.ndarray:
+    """A whole text as windows [n, TRAIN_WINDOW], the last one padded."""
+    n = -(-len(text) // TRAIN_WINDOW)
+    out = np.full(n * TRAIN_WINDOW, 256, np.int16)
+    out[: len(text)] = np.frombuffer(text, np.uint8)
+    return out.reshape(n, TRAIN_WINDOW)
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Network:
+    """Trains on a bounded sample of labelled documents outside the held-out fold, dealt over the languages in turn."""
     known = docs.where((fold() != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= sample).select("doc_id", F.col("lang").alias("__lang")).distinct()
-    at = F.lit(1) + F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - slice_chars)).cast("int")
+    ids = known.select("doc_id", "lang").withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= sample).orderBy("__k", "lang").limit(sample)
     rows = (
         known.where("text IS NOT NULL")
-        .join(F.broadcast(ids), "doc_id")
+        .join(F.broadcast(ids.select("doc_id", F.col("lang").alias("__lang")).distinct()), "doc_id")
         .where(F.col("lang") == F.col("__lang"))
-        .select("doc_id", "lang", F.substring("text", at, F.lit(slice_chars)).alias("t"))
-        .orderBy("doc_id", "lang", "t")
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("t"))
+        .orderBy("doc_id", "lang")
         .collect()
     )
-    rows = [(r["lang"], r["t"].encode()) for r in rows if _LETTER.search(r["t"])]
+    rows = [(r["lang"], r["t"].encode("utf-8", "replace")) for r in rows if _LETTER.search(r["t"])]
     net = Network(sorted({lang for lang, _ in rows}))
     if len(net.langs) < 2:
         return net
-    xs, ys = [], []
-    for lang, t in rows:
-        for _, x in _windows([t]):
-            xs.append(x.T)
-            ys.append(np.full(x.shape[1], net.langs.index(lang)))
+    xs = [training_windows(t) for _, t in rows]
+    ys = [np.full(len(x), net.langs.index(lang)) for x, (lang, _) in zip(xs, rows, strict=True)]
     net.train(np.concatenate(xs), np.concatenate(ys), steps)
     return net
 

@@ -441,13 +441,47 @@ def test_gradients():
         assert (up - down) / (2 * e) == pytest.approx(v[i], rel=0.02, abs=1e-4)
 
 
-def test_windows_cover_whole_texts():
-    texts = [b"x" * 1000, b"", b"y" * 64, b"z" * 65]
-    seen = Counter()
-    for owner, x in language._windows(texts, rows=4):
-        for k, column in zip(owner, x.T):
-            seen[int(k)] += int((column != 256).sum())
-    assert [seen[k] for k in range(4)] == [1000, 0, 64, 65]
+def slow_language(net, text):
+    """Mean probabilities of a text's positions, one byte and one window after the other."""
+    def gate(v):
+        return 1 / (1 + np.exp(-v))
+
+    def states(w, u, seq):
+        h, h_dim, out = np.zeros(len(u)), len(u), []
+        for b in seq:
+            g, r = w[b], h @ u
+            reset, keep = gate(g[:h_dim] + r[:h_dim]), gate(g[h_dim : 2 * h_dim] + r[h_dim : 2 * h_dim])
+            new = np.tanh(g[2 * h_dim :] + reset * r[2 * h_dim :])
+            h = (1 - keep) * new + keep * h
+            out.append(h)
+        return out
+
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    total = np.zeros(len(net.langs))
+    for at in range(0, len(text), language.WINDOW):
+        n, c = min(language.WINDOW, len(text) - at), language.CONTEXT
+        before, after = text[max(0, at - c) : at], text[at + n : at + n + c]
+        fwd = states(p["wf"], p["uf"], before + text[at : at + n])[len(before) :]
+        back = states(p["wb"], p["ub"], (text[at : at + n] + after)[::-1])[len(after) :][::-1]
+        for f, b in zip(fwd, back):
+            z = np.concatenate([f, b]) @ p["v"] + p["c"]
+            total += np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    return total / max(1, len(text))
+
+
+def test_windows_against_single_steps():
+    rng = np.random.default_rng(2)
+    net = language.Network(["a", "b", "c"])
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 31, 511, 512, 513, 1300, 40)]
+    got = net.documents(texts)
+    for t, q in zip(texts, got, strict=True):
+        assert q == pytest.approx(slow_language(net, t), abs=1e-4)
+    assert np.concatenate([x for x in map(language.training_windows, texts)]).size - sum((language.training_windows(t) == 256).sum() for t in texts) == sum(map(len, texts))
+    again = np.zeros_like(got)
+    for owners, x in language._windows(texts, rows=2):
+        inside = x[language.CONTEXT : len(x) - language.CONTEXT] != 256
+        np.add.at(again[:, 0], owners, inside.sum(axis=0))
+    assert (again[:, 0] >= [len(t) for t in texts]).all()
 
 
 def test_languages_are_told_apart(spark, sf):
@@ -455,10 +489,24 @@ def test_languages_are_told_apart(spark, sf):
     assert (r["lang"] == r["lang_pred"]).mean() > 0.9
 
 
+def test_fit_takes_an_id_once(spark):
+    """Repeated and unlabelled rows, few languages: the sample is bounded and its texts are whole."""
+    rows = [(k, ("ab " if k % 2 else "cd ") * 900, "x" if k % 2 else "y", None, None, "", "", 0, 0) for k in range(40)]
+    df = spark.createDataFrame(rows + rows[:7] + [(99, "zz", None, None, None, "", "", 0, 0)], SCHEMA)
+    net = language.fit(df, sample=12, steps=30)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(df, net).collect()}
+    assert net.langs == ["x", "y"] and all(got[k] == ("x" if k % 2 else "y") for k in range(40))
+
+
 def test_language_edges(spark, docs, none):
     net = language.Network(["a", "b"])
-    got = {r["doc_id"]: r for r in language.predict(frame(spark, [(1, None), (2, "12 :"), (3, "wort")]), net).collect()}
-    assert got[1]["lang_pred"] == got[2]["lang_pred"] == "und" and got[2]["score"] == 0 and got[3]["lang_pred"] in "ab"
+    got = {r["doc_id"]: r for r in language.predict(frame(spark, [(1, None), (2, "12 :"), (3, "wort"), (4, "½ ² ① Ⅰ"), (5, ""), (6, "x" * 300_000), (7, "1é")]), net).collect()}
+    assert all(got[k]["lang_pred"] == "und" and got[k]["score"] == 0 for k in (1, 2, 4, 5)) and all(got[k]["lang_pred"] in "ab" for k in (3, 6, 7))
+    twice = language.predict(frame(spark, [(1, "wort"), (1, "wort"), (None, "wort")]), net).collect()
+    assert len(twice) == 3 and len({(r["lang_pred"], round(r["score"], 5)) for r in twice}) == 1
+    even = language.Network(["b2", "a1"][::-1])
+    even.p = {k: np.zeros_like(v) for k, v in even.p.items()}
+    assert language.predict(frame(spark, [(1, "wort")]), even).first()["lang_pred"] == "a1"
     assert {r["lang_pred"] for r in language.predict(docs, language.fit(docs)).collect()} == {"und"}
     assert language.predict(none, net, keep=True).columns == [*none.columns, "lang_pred", "score"]
 
