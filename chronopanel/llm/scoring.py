@@ -1,20 +1,23 @@
 """Language-model scores by a weighted backoff automaton over words.
 
-All training texts are counted: words, and pairs of neighbours (a text starts in a begin state and ends with an end token).
-A word is a state. From state v, the pairs (v, w) with a count are arcs with
+All training texts are counted: words, and runs of two and three words (a text starts in a begin state and ends with an end token).
+A state is what was read last: the root (nothing), one word v, or two words uv that follow each other in the training texts. From a state h, the
+words w that follow it are arcs, of weight
 
-    P(w | v) = share(v) * c(vw) / c(v) + (1 - share(v)) * P(w),    share(v) = STRENGTH * c(v) / (c(v) + SOFT)
+    P(w | h) = (c(hw) + MASS[h] * P(w | h')) / (c(h) + MASS[h])
 
-and a failure arc of weight 1 - share(v) leads to the root state, whose arcs carry P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), one
-of them for all words outside the training texts. The probabilities of a state add up to 1. One
-traversal from left to right carries the state and accumulates log10 probabilities.
+where h' is h without its first word; the arc leads to the longest state that h and w end with. A failure arc of weight MASS[h] / (c(h) + MASS[h])
+leads from h to h'. The root's arcs carry P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), one of them for all words outside the training
+texts. The probabilities of a state add up to 1. A traversal from left to right carries the state and adds up log10 weights: while the
+state has no arc for a word it follows the failure arc, then it takes the arc.
 
 The automaton of a corpus grows with it and is never in one place. Texts are scored in groups of bounded size. A group asks
-for the counts of its own words and pairs; requests are dealt by hash to reducers, which sum the counts of all
-training texts and answer each group with the counts it needs. A count that a group can infer (a pair of a training group is in
+for the counts of its own words, pairs and triples; requests are dealt by hash to reducers, which sum the counts of all
+training texts and answer each group with the counts it needs. A count that a group can infer (what a training group has is in
 the training texts at least once) is not sent. So each group gets its part of the automaton, and no table is
-broadcast or collected. Requests and answers travel as sorted arrays, each word or pair once a group, which also
-bounds the share of a frequent word: it is one entry of each group.
+broadcast or collected; the number of reducers follows the bytes of the table. Requests and answers travel as sorted arrays, each entry once a
+group, which also bounds the share of a frequent word. Counts are 64-bit. Words are known by 64-bit hashes, pairs and triples by 56 bits: a run
+of words that no text has is taken for one of n others with probability n / 2^56.
 
 A group's key is made of its content, and a group without answers is an error, so a changed partitioning
 between both passes over the texts cannot go unnoticed.
@@ -35,14 +38,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, parts, slices, written
+from .common import bounded_batches, documents, fold, parts, release, slices, written
 
-STRENGTH = 0.35
-SOFT = 20.0
-#: Tokens a group at most (a longer text is a group of its own).
-GROUP_TOKENS = 2_000_000
+#: Weight of the shorter state's probabilities in a state of one and of two words.
+MASS = (0.0, 20.0, 4.0)
+#: Tokens a group at most (a longer text is a group of its own); bytes of text for each reducer.
+GROUP_TOKENS = 1_200_000
+REDUCER_BYTES = 24 << 20
 #: Words whose hashes a worker remembers.
 CACHE_WORDS = 400_000
+#: Bits of a pair's or triple's hash that are kept.
+ARC_BITS = np.uint64(56)
 BEGIN, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -67,33 +73,45 @@ def tokens(text: str | None) -> np.ndarray:
     return out
 
 
-def pairs(tok: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """States before each token, and hashes of (state, token). first: where texts begin."""
-    state = np.empty_like(tok)
-    state[1:] = tok[:-1]
-    state[first] = BEGIN
+def _joined(state: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    """Hashes of states followed by a token."""
     x = state * _A
     x ^= x >> np.uint64(29)
     x += tok * _B
     x ^= x >> np.uint64(32)
     x *= _C
     x ^= x >> np.uint64(31)
-    return state, x
+    x >>= np.uint64(64) - ARC_BITS
+    return x
+
+
+def arcs(tok: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of (state, token) for states of one word and of two, at each position. first: where texts begin; there the state of one
+    word is the begin state, and there is none of two (the hash is 0)."""
+    before = np.empty_like(tok)
+    before[1:] = tok[:-1]
+    before[first] = BEGIN
+    two = _joined(before, tok)
+    state = np.empty_like(two)
+    state[1:] = two[:-1]
+    three = _joined(state ^ _C, tok)
+    three[first] = 0
+    return two, three
 
 
 def _packed(h: np.ndarray, n: np.ndarray) -> bytes:
     """Sorted hashes as differences, and counts; bytes of equal place together."""
     d = np.diff(h, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    c = np.minimum(n, 2**32 - 1).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    c = n.astype("<u8").view(np.uint8).reshape(-1, 8).T
     body = np.ascontiguousarray(d).tobytes() + np.ascontiguousarray(c).tobytes()
     return struct.pack("<I", len(h)) + zstandard.ZstdCompressor(level=1).compress(body)
 
 
 def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = struct.unpack_from("<I", b)[0]
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[4:], max_output_size=12 * n), np.uint8)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[4:], max_output_size=16 * n), np.uint8)
     h = np.cumsum(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel(), dtype=np.uint64)
-    return h, np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return h, np.ascontiguousarray(raw[8 * n :].reshape(8, n).T).view("<i8").ravel()
 
 
 class _Group:
@@ -139,21 +157,33 @@ _REQUEST = "reducer int, grp long, held boolean, kind int, body binary"
 _REQUEST_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("held", pa.bool_()), ("kind", pa.int32()), ("body", pa.binary())])
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    values = np.sort(values)
+    new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    return values[new], np.diff(np.concatenate([new, [len(values)]]))
+
+
 def _ask(reducers: int):
-    """Requests of every group: its distinct words (kind 1) and pairs (kind 2) with their counts, by reducer."""
-    edges = (np.arange(1, reducers, dtype=object) * (2**64 // reducers)).astype(np.uint64)
+    """Requests of every group: its distinct words (kind 1), pairs (2) and triples (3) with their counts, by reducer."""
+    whole = (np.arange(1, reducers, dtype=object) * (2**64 // reducers)).astype(np.uint64)
+    edges = {1: whole, 2: whole >> np.uint64(64) - ARC_BITS, 3: whole >> np.uint64(64) - ARC_BITS}
 
     def run(batches):
         for held, g in _groups(batches):
             tok, first = g.joined()
             key = g.key(held)
-            rows = []
-            for kind, values in ((1, tok), (2, pairs(tok, first)[1])):
-                h, n = np.unique(values, return_counts=True)
-                cut = [0, *np.searchsorted(h, edges).tolist(), len(h)]
-                rows += [(r, key, held, kind, _packed(h[a:b], n[a:b])) for r, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-            for k in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows[k : k + 64], strict=True), _REQUEST_ARROW, strict=True)], schema=_REQUEST_ARROW)
+            two, three = arcs(tok, first)
+            three = np.delete(three, first)
+            for kind, values in ((1, tok), (2, two), (3, three)):
+                if not len(values):
+                    continue
+                h, n = _distinct(values)
+                cut = [0, *np.searchsorted(h, edges[kind]).tolist(), len(h)]
+                rows = [(r, key, held, kind, _packed(h[a:b], n[a:b])) for r, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
+                for k in range(0, len(rows), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows[k : k + 64], strict=True), _REQUEST_ARROW, strict=True)], schema=_REQUEST_ARROW)
+            del two, three, values, h, n
+            release()
 
     return run
 
@@ -168,12 +198,18 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, n = _unpacked(body)
             groups.append(g), flags.append(held), hs.append(h), ns.append(n)
         sizes = [len(h) for h in hs]
-        all_h, inverse = np.unique(np.concatenate(hs), return_inverse=True)
+        flat = np.concatenate(hs)
+        del hs
+        order = np.argsort(flat)
+        new = np.concatenate([[True], np.diff(flat[order]) != 0])
+        inverse = np.empty(len(flat), np.int64)
+        inverse[order] = np.cumsum(new) - 1
         train = np.concatenate([n if not f else np.zeros_like(n) for n, f in zip(ns, flags, strict=True)])
-        total = np.bincount(inverse, weights=train, minlength=len(all_h)).astype(np.int64)
+        total = np.add.reduceat(train[order], np.flatnonzero(new))
+        del order, new, train, ns
         out, end = [(at[0], -1, at[1], int(total.sum()), int((total > 0).sum()), None)], 0
-        for g, held, h, size in zip(groups, flags, hs, sizes, strict=True):
-            n = total[inverse[end : end + size]]
+        for g, held, size in zip(groups, flags, sizes, strict=True):
+            h, n = flat[end : end + size], total[inverse[end : end + size]]
             end += size
             told = n >= (1 if held else 2)
             out.append((at[0], g, at[1], None, None, _packed(h[told], n[told])))
@@ -199,34 +235,52 @@ _ANSWER_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("kind"
 
 
 class Automaton:
-    """Counts of some words and pairs, as states, arcs and failure arcs. Absent counts are `floor`."""
+    """Counts of some words, pairs and triples, as states, arcs and failure arcs. Absent counts are `floor`."""
 
-    def __init__(self, words, pairs_, n: int, v: int, floor: int) -> None:
-        self.words, self.pairs, self.n, self.v, self.floor = words, pairs_, n, v, floor
+    def __init__(self, words, pairs, triples, n: int, v: int, floor: int) -> None:
+        self.tables, self.n, self.v, self.floor = (words, pairs, triples), n, v, floor
 
-    def _count(self, table, h: np.ndarray) -> np.ndarray:
-        keys, counts = table
+    def _count(self, kind: int, h: np.ndarray) -> np.ndarray:
+        keys, counts = self.tables[kind]
         if not len(keys):
-            return np.full(len(h), self.floor)
+            return np.full(len(h), float(self.floor))
         k = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        return np.where(keys[k] == h, counts[k], self.floor)
+        return np.where(keys[k] == h, counts[k], self.floor).astype(float)
 
     def traverse(self, tok: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Known tokens, log10 probability by the root alone, and by the automaton, of each text."""
-        state, arc = pairs(tok, first)
-        c = self._count(self.words, tok).astype(float)
-        z = self.n + 0.5 * (self.v + 1)
-        root = (c + 0.5) / z
-        c_end = float(self._count(self.words, np.array([END], np.uint64))[0])
-        c_state = np.empty_like(c)
-        c_state[1:] = c[:-1]
-        c_state[first] = c_end  # the begin state is entered once a text, as the end token
-        share = STRENGTH * c_state / (c_state + SOFT)
-        c_arc = np.where(c_state > 0, self._count(self.pairs, arc), 0)
-        own = np.divide(c_arc, c_state, out=np.zeros_like(c), where=c_state > 0)
-        logp = np.log10(share * own + (1 - share) * root)
+        """Known tokens, log10 probability by the root alone, and by the automaton, of each text.
+
+        A state is its number of words, `level`, at a position. All positions move at once: which state an arc leads to does not
+        depend on the failure arcs that were followed before it."""
+        two, three = arcs(tok, first)
+        c1, c2, c3 = self._count(0, tok), self._count(1, two), self._count(2, three)
+        c3[first] = 0
+
+        def held(c: np.ndarray, begin: float) -> np.ndarray:
+            out = np.empty_like(c)  # the count of the state before each token
+            out[1:] = c[:-1]
+            out[first] = begin
+            return out
+
+        # the begin state is entered once a text, as the end token
+        in_state = (None, held(c1, float(self._count(0, np.array([END], np.uint64))[0])), held(c2, 0.0))
+        level = np.where(in_state[2] > 0, 2, np.where(in_state[1] > 0, 1, 0))
+        arc = [(c1 + 0.5) / (self.n + 0.5 * (self.v + 1))]
+        for k, c in ((1, c2), (2, c3)):
+            arc.append((c + MASS[k] * arc[k - 1]) / (in_state[k] + MASS[k]))
+        weight, open_ = np.zeros(len(tok)), np.ones(len(tok), bool)
+        for k, c in ((2, c3), (1, c2)):
+            here = open_ & (level == k)
+            found = here & (c > 0)
+            weight[found] += np.log10(arc[k][found])
+            open_ &= ~found
+            fails = here & ~found
+            weight[fails] += np.log10(MASS[k] / (in_state[k][fails] + MASS[k]))
+            level[fails] = k - 1
+        base = np.log10(arc[0])
+        weight[open_] += base[open_]
         add = np.add.reduceat
-        return add((c > 0).astype(np.int64), first), add(np.log10(root), first), add(logp, first)
+        return add((c1 > 0).astype(np.int64), first), add(base, first), add(weight, first)
 
 
 _SCORE = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -242,8 +296,9 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     if not stable:
         rows = written(rows, "lm-texts")
-    reducers = parts(docs.sparkSession)
-    asked = rows.mapInArrow(_ask(reducers), _REQUEST).repartition(reducers, "reducer").sortWithinPartitions("reducer", "kind")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    reducers = max(parts(docs.sparkSession), -(-size // REDUCER_BYTES))
+    asked = rows.mapInArrow(_ask(reducers), _REQUEST).repartitionById(reducers, "reducer").sortWithinPartitions("reducer", "kind")
     answers = written(asked.mapInArrow(_answer, _ANSWER), "lm-counts")
     totals = answers.where("grp = -1 AND kind = 1").agg(F.sum("n"), F.sum("v")).first()
     n, v = int(totals[0] or 0), int(totals[1] or 0)
@@ -260,7 +315,7 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     sent = rows.mapInArrow(send, "grp long, floor int, ids array<long>, texts array<binary>")
     both = (
         answers.where("grp <> -1").select("grp", "kind", "body", F.lit(None).cast("int").alias("floor"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<binary>").alias("texts"))
-        .unionByName(sent.select("grp", F.lit(3).alias("kind"), F.lit(None).cast("binary").alias("body"), "floor", "ids", "texts"))
+        .unionByName(sent.select("grp", F.lit(4).alias("kind"), F.lit(None).cast("binary").alias("body"), "floor", "ids", "texts"))
         .repartition(reducers, "grp")
         .sortWithinPartitions("grp", "kind")
     )
@@ -270,13 +325,13 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for g, kind, body, floor, ids, texts in zip(*[batch.column(k).to_pylist() for k in range(6)], strict=True):
                 if g != at:
-                    at, tables = g, {1: [], 2: []}
-                if kind != 3:
+                    at, tables = g, {1: [], 2: [], 3: []}
+                if kind != 4:
                     tables[kind].append(body)
                     continue
                 if not tables[1]:
                     raise RuntimeError("the texts were dealt otherwise in the second pass")
-                model = Automaton(_table(tables[1]), _table(tables[2]), n, v, floor)
+                model = Automaton(*(_table(tables[k]) for k in (1, 2, 3)), n, v, floor)
                 own = zstandard.ZstdDecompressor()
                 plain = [own.decompress(t).decode("utf-8", "surrogatepass") for t in texts]
                 toks = [tokens(t) for t in (plain[0].split("\0") if len(plain) != len(ids) else plain)]
@@ -286,6 +341,8 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
                     [pa.array(ids, pa.int64()), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), n)), pa.array(base), pa.array(total)],
                     names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
+                del model, plain, toks
+                release()
 
     return both.mapInArrow(run, _SCORE)
 

@@ -515,21 +515,39 @@ def test_language_edges(spark, docs, none):
 
 
 def slow_scores(rows):
+    """A walk over an explicit automaton: states are tuples of words, arcs and failure arcs dictionaries."""
     tok = [(i, [*WORD.findall((t or "").translate(LOW)), None]) for i, t in rows]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
     train = [w for i, w in tok if not held(i)]
-    c = Counter(x for w in train for x in w)
-    n, v = sum(c.values()), len(c)
-    pair = Counter(p for w in train for p in zip(["<"] + w, w))
-    c["<"] = len(train)
-    z, out = n + 0.5 * (v + 1), []
+    c = Counter()
+    for w in train:
+        run = ["<", *w]
+        c.update((x,) for x in w)
+        for k in (2, 3):
+            c.update(tuple(run[j : j + k]) for j in range(len(run) - k + 1))
+    n, v = sum(c[k] for k in c if len(k) == 1), sum(len(k) == 1 for k in c)
+    c["<",] = len(train)
+    z = n + 0.5 * (v + 1)
+
+    def prob(state, x):
+        if not state:
+            return ((c[x,] if x != "<" else 0) + 0.5) / z
+        m = scoring.MASS[len(state)]
+        return (c[(*state, x)] + m * prob(state[1:], x)) / (c[state] + m)
+
+    out = []
     for i, w in tok:
-        base = sum(math.log10((c[x] + 0.5) / z) for x in w)
-        total = 0.0
-        for a, x in zip(["<"] + w, w):
-            share = scoring.STRENGTH * c[a] / (c[a] + scoring.SOFT)
-            total += math.log10(share * (pair[a, x] / c[a] if c[a] else 0) + (1 - share) * (c[x] + 0.5) / z)
-        out.append((-1 if i is None else i, len(w), sum(c[x] > 0 for x in w), n, round(base, 6), round(total, 6)))
+        state, total = ("<",) if c["<",] else (), 0.0
+        for x in w:
+            last = state
+            while state and not c[(*state, x)]:
+                m = scoring.MASS[len(state)]
+                total += math.log10(m / (c[state] + m))
+                state = state[1:]
+            total += math.log10(prob(state, x))
+            state = next(s for s in ((*last, x)[-2:], (x,), ()) if not s or c[s]) if len((*last, x)) > 1 else ((x,) if c[x,] else ())
+        base = sum(math.log10((c[x,] + 0.5) / z) for x in w)
+        out.append((-1 if i is None else i, len(w), sum(c[x,] > 0 for x in w), n, round(base, 6), round(total, 6)))
     return sorted(out)
 
 
@@ -542,17 +560,32 @@ def test_scores_against_brute_force(spark, docs, none, monkeypatch, group):
 
 
 def test_probabilities_of_a_state_add_up():
-    text = ["a b a c", "a b", "b b a"]
+    text = ["a b a c", "a b", "b b a", "a b c"]
     toks = [scoring.tokens(t) for t in text]
     first = np.cumsum([len(t) for t in toks]) - [len(t) for t in toks]
     flat = np.concatenate(toks)
-    w, n = np.unique(flat, return_counts=True)
-    p, m = np.unique(scoring.pairs(flat, first)[1], return_counts=True)
-    model = scoring.Automaton((w, n), (p, m), int(n.sum()), len(w), 0)
-    after = [np.concatenate([scoring.tokens("a")[:1], [x]]) for x in [*w, np.uint64(12345)]]
-    one = float(model.traverse(scoring.tokens("a")[:1], np.array([0]))[2][0])
-    total = sum(10 ** (float(model.traverse(t.astype(np.uint64), np.array([0]))[2][0]) - one) for t in after)
-    assert total == pytest.approx(1.0)
+    two, three = scoring.arcs(flat, first)
+    model = scoring.Automaton(*map(scoring._distinct, (flat, two, np.delete(three, first))), len(flat), len(np.unique(flat)), 0)
+    for begin in ("a", "a b", "c c"):
+        start = scoring.tokens(begin)[:-1]
+        one = float(model.traverse(start, np.array([0]))[2][0])
+        after = [np.concatenate([start, [x]]).astype(np.uint64) for x in [*np.unique(flat), np.uint64(12345)]]
+        assert sum(10 ** (float(model.traverse(t, np.array([0]))[2][0]) - one) for t in after) == pytest.approx(1.0)
+
+
+def test_counts_above_32_bits():
+    h, n = np.array([1, 5], np.uint64), np.array([2**40, 1])
+    got = scoring._unpacked(scoring._packed(h, n))
+    assert got[0].tolist() == [1, 5] and got[1].tolist() == [2**40, 1]
+
+
+def test_registered_scores_of_repeated_rows(spark, tmp_path):
+    """The registered query over several files with equal rows and groups of equal content."""
+    rows = corpus() + [(7, "ab cd ab cd")] * 4
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    got = scoring.op10_backoff_lm(spark, str(tmp_path)).collect()
+    key = lambda r: (-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6))
+    assert sorted(map(key, got)) == slow_scores(rows)
 
 
 def test_held_out_texts_score_better_than_words_alone(spark, sf):
