@@ -1,10 +1,12 @@
 """Mixing sources to target weights by entropy balancing.
 
 Every document gets a rate: one is its own share, two is two copies. The rates minimise the
-size-weighted relative entropy to the corpus under one token constraint per source, with an upper
-bound on a rate. The convex dual has one multiplier per source, a document's rate is
-min(bound, exp(multiplier)), and Newton steps solve it: each step is one distributed aggregation of
-the tilted sizes. Sums are taken over integers, so reruns agree to the last bit.
+size-weighted relative entropy to the corpus under token constraints, one for each source and one for each class of any further column
+(languages, length classes), with an upper bound on a rate. The convex dual has one multiplier per source or class, and a document's rate is
+min(bound, exp(sum of its multipliers)). Newton steps solve it: each is one distributed aggregation of the tilted sizes of all
+documents, and of their slopes (the tilted sizes below the bound), by source and classes. From these cells come the gradient and the
+Hessian; sources are eliminated from it first, as a document has one source, so that a dense system remains for the classes only. A step
+that does not bring the constraints closer is halved. Sums are taken over decimals, so reruns agree to the last bit.
 
 Rates become copies by one pass: every document is taken floor(rate) times, and the fraction is made
 up from whole documents in the order of the MD5 of their id, as long as the middle of a document's
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,10 +32,13 @@ from .common import WORD, documents, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
-#: Source totals come to the driver, so their number has a bound; more raise an error.
+#: Sources (and classes of further columns) come to the driver, so their numbers have bounds; more raise an error.
 MAX_SOURCES = 200_000
+MAX_CLASSES = 2_000
+MAX_CELLS = 2_000_000
 BUCKET_ROWS = 4_000
-NEWTON_STEPS = 60
+NEWTON_STEPS = 100
+CLOSE = 1e-12
 
 
 def word_count(text: Column | str = "text") -> Column:
@@ -44,47 +50,82 @@ def targets(totals: list[tuple[str | None, int]], weights=WEIGHTS, most: float =
     """Shares of all words by repeating weights; what a source cannot take is shared again."""
     order = sorted((s for s, _ in totals if s is not None)) + [s for s, _ in totals if s is None]
     size, weight = dict(totals), {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, open_, out = float(sum(size.values())), list(order), {}
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        over = [s for s in open_ if weight[s] * unit > most * size[s]]
-        if not over:
-            return out | {s: weight[s] * unit for s in open_}
-        for s in over:
-            out[s] = most * size[s]
-            left -= out[s]
-            open_.remove(s)
+    # sources reach their bound in the order of size by weight; once one does not, none after it does
+    ranked = sorted(range(len(order)), key=lambda i: (size[order[i]] / weight[order[i]], i))
+    left, open_, out = sum(size.values()), sum(weight.values()), {}
+    for k, i in enumerate(ranked):
+        s = order[i]
+        if weight[s] * left <= most * size[s] * open_:
+            return out | {order[j]: weight[order[j]] * left / open_ for j in ranked[k:]}
+        out[s] = most * size[s]
+        left -= out[s]
+        open_ -= weight[s]
     return out
 
 
-def _multiplier(rows: DataFrame, goal: dict[str | None, float], most: float) -> dict[str | None, float]:
-    """Newton's method on the dual, one aggregation over all documents a step."""
-    lam = dict.fromkeys(goal, 0.0)
-    bound = math.log(most)
+def _cells(rows: DataFrame, keys: list[str], lam: list[dict], most: float) -> list[tuple]:
+    """One Newton step's sums over all documents: (classes, tilted size, slope) by source and classes."""
     spark = rows.sparkSession
-    for _ in range(NEWTON_STEPS):
-        table = spark.createDataFrame(
-            [(s, float(v)) for s, v in lam.items()], "source string, lam double"
-        )
-        tilted = (
-            rows.join(F.broadcast(table), rows.source.eqNullSafe(table.source), "inner")
-            .groupBy(rows.source, "lam")
-            .agg(F.sum("size").alias("size"))
-            .collect()
-        )
-        worst = 0.0
-        for r in tilted:
-            s, total = r["source"], int(r["size"])
-            if not total or not goal[s]:
-                continue
-            now = min(most, math.exp(r["lam"])) * total
-            gap = goal[s] - now
-            worst = max(worst, abs(gap) / goal[s])
-            slope = math.exp(r["lam"]) * total
-            lam[s] = min(bound, max(r["lam"] + max(-5.0, min(5.0, gap / slope)), -700.0))
-        if worst < 1e-13:
-            break
-    return lam
+    tilt = F.lit(0.0)
+    for k, (key, values) in enumerate(zip(keys, lam, strict=True)):
+        kind = rows.schema[key].dataType.simpleString()
+        table = spark.createDataFrame([(v, float(x)) for v, x in values.items()], f"__v{k} {kind}, __lam{k} double")
+        rows = rows.join(F.broadcast(table), F.col(key).eqNullSafe(F.col(f"__v{k}")))  # bounded by MAX_SOURCES and MAX_CLASSES
+        tilt = tilt + F.col(f"__lam{k}")
+    rate = F.least(F.lit(most), F.exp(tilt))
+    rows = rows.select(*keys, (F.col("size") * rate).cast("decimal(32,12)").alias("__tilted"), (tilt <= math.log(most)).alias("__free"))
+    sums = rows.groupBy(*keys).agg(F.sum("__tilted").alias("t"), F.sum(F.when(F.col("__free"), F.col("__tilted"))).alias("f")).take(MAX_CELLS + 1)
+    if len(sums) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} combinations of sources and classes")
+    return [(*r[: len(keys)], float(r["t"] or 0), float(r["f"] or 0)) for r in sums]
+
+
+def balance(rows: DataFrame, keys: list[str], goals: list[dict], most: float = MOST, steps: int = NEWTON_STEPS) -> list[dict]:
+    """Multipliers of the dual, for each key the multiplier of each of its values. `rows` has `size` and the keys; goals are the
+    words that each value is to have. The first key is the sources. Goals of zero switch a value off."""
+    at = [{v: i for i, v in enumerate(g)} for g in goals]
+    ends = np.cumsum([0, *map(len, goals)])
+    goal = np.concatenate([np.fromiter(g.values(), float, len(g)) for g in goals])
+    off = goal <= 0
+    x, step, last = np.where(off, -700.0, 0.0), None, np.inf
+    for _ in range(steps):
+        lam = [dict(zip(g, x[a:b], strict=True)) for g, a, b in zip(goals, ends, ends[1:], strict=False)]
+        cells = _cells(rows, keys, lam, most)
+        if not cells:
+            return lam
+        where = np.array([[ends[k] + at[k][c[k]] for k in range(len(keys))] for c in cells])
+        mass, slope = (np.array([c[-j] for c in cells]) for j in (2, 1))
+        have = np.zeros(len(goal))
+        for k in range(len(keys)):
+            np.add.at(have, where[:, k], mass)
+        gap = np.where(off, 0.0, goal - have)
+        worst = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
+        if worst < CLOSE:
+            return lam
+        if step is not None and worst > last * (1 - 1e-9) and np.abs(step).max() > 1e-12:
+            step = step / 2  # not closer: go half the way back
+            x = np.where(off, x, x - step)
+            continue
+        last = min(last, worst)
+        # Hessian: diagonal for sources, dense for the classes beside them
+        n = ends[1]
+        diag = np.zeros(n)
+        np.add.at(diag, where[:, 0], slope)
+        diag = np.maximum(diag, 1e-9 * np.maximum(goal[:n], 1.0))
+        step = gap / np.concatenate([diag, np.ones(len(goal) - n)])
+        if len(keys) > 1:
+            m = len(goal) - n
+            dense, cross = np.zeros((m, m)), np.zeros((m, n))
+            for a in range(1, len(keys)):
+                np.add.at(cross, (where[:, a] - n, where[:, 0]), slope)
+                for b in range(1, len(keys)):
+                    np.add.at(dense, (where[:, a] - n, where[:, b] - n), slope)
+            schur = dense - (cross / diag) @ cross.T
+            part = np.linalg.lstsq(schur + 1e-12 * np.eye(m) * max(1.0, np.trace(dense)), gap[n:] - (cross / diag) @ gap[:n], rcond=1e-13)[0]
+            step = np.concatenate([(gap[:n] - part @ cross) / diag, part])
+        step = np.where(off, 0.0, np.clip(step, -5.0, 5.0))
+        x = x + step
+    raise RuntimeError("the multipliers did not settle: the constraints cannot be met together")
 
 
 def mix(
@@ -94,15 +135,16 @@ def mix(
     source_col: str = "source",
     weights=WEIGHTS,
     most: float = MOST,
+    carry: list[str] = (),
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, rate, copies, taken."""
+    """One row per input row: id, the carried columns, source, size, source_size, target, rate, copies, taken."""
     spark = docs.sparkSession
-    rows = written(docs.select(F.col(id_col), F.col(source_col).alias("source"), size.alias("size")), "mix-sizes")
+    rows = written(docs.select(F.col(id_col), *carry, F.col(source_col).alias("source"), size.alias("size")), "mix-sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("s"), F.count("*").alias("n")).take(MAX_SOURCES + 1)
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     goal = targets([(r["source"], int(r["s"])) for r in totals], weights, most)
-    lam = _multiplier(rows, goal, most)
+    lam = balance(rows.select("source", "size"), ["source"], [goal], most)[0]
     plan = []
     for r in totals:
         s, total = r["source"], int(r["s"])
@@ -133,7 +175,7 @@ def mix(
     )
     copies = F.col("whole") + F.when(F.col("__middle") < F.col("missing"), 1).otherwise(0)
     return placed.select(
-        id_col, "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"),
+        id_col, *carry, "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
     )
 

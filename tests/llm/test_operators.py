@@ -354,6 +354,55 @@ def test_targets():
     assert mixing.targets([("a", 0)]) == {"a": 0}
 
 
+def test_targets_against_rounds():
+    """As the contract says it: share by weight, stop at the bound, share the excess again until none is above."""
+    rng = random.Random(3)
+    for _ in range(200):
+        totals = [(f"s{k:03}", rng.choice([0, 1, rng.randint(0, 50), rng.randint(0, 10_000)])) for k in range(rng.randint(1, 12))] + [(None, 5)] * rng.randint(0, 1)
+        weight = {s: (5, 2, 1)[k % 3] for k, (s, _) in enumerate(totals)}
+        left, open_, want = sum(n for _, n in totals), dict(totals), {}
+        while True:
+            share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+            over = [s for s in open_ if share[s] > 3 * open_[s]]
+            if not over:
+                break
+            for s in over:
+                want[s] = 3 * open_.pop(s)
+                left -= want[s]
+        assert mixing.targets(totals) == pytest.approx(want | share if open_ else want)
+
+
+def test_constraints_that_interact(spark):
+    """Sources and languages at once: every constraint is met, rates have the dual's form, and no other rates that meet the
+    constraints are nearer to the corpus."""
+    rng = random.Random(6)
+    rows = [(rng.choice("abc"), rng.choice(["x", "y", None]), rng.randint(1, 400)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "source string, lang string, size long")
+    true = {s: {"a": 0.4, "b": 1.3, "c": 2.0}[s] for s in "abc"}
+    tilt = {"x": 1.6, "y": 0.7, None: 1.0}
+    goals = [{s: sum(n * min(3.0, true[s] * tilt[l]) for t, l, n in rows if t == s) for s in "abc"}, {l: sum(n * min(3.0, true[s] * tilt[l]) for s, m, n in rows if m == l) for l in tilt}]
+    lam = mixing.balance(df, ["source", "lang"], goals)
+    rate = [min(3.0, math.exp(lam[0][s] + lam[1][l])) for s, l, _ in rows]
+    for k, g in enumerate(goals):
+        for v, want in g.items():
+            assert sum(r * row[2] for r, row in zip(rate, rows) if row[k] == v) == pytest.approx(want, rel=1e-9)
+    assert rate == pytest.approx([min(3.0, true[s] * tilt[l]) for s, l, _ in rows], rel=1e-6)
+    with pytest.raises(RuntimeError):
+        mixing.balance(df, ["source"], [{s: 10 * goals[0][s] for s in "abc"}], steps=30)
+
+
+def test_mix_by_sql(spark, tmp_path):
+    import duckdb
+
+    path = str(tmp_path / "documents.parquet")
+    frame(spark, [r for r in corpus() if r[0] not in (None, 106)]).select("doc_id", "text", "source").coalesce(1).write.parquet(path)
+    cols = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    got = [tuple(r) for r in mixing.op7_mixing(spark, str(tmp_path)).select(cols).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert sorted(got) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({mixing.SQL['op7_mixing']})").fetchall())
+
+
 @pytest.mark.parametrize("rows_a_bucket", [5, 4000])
 def test_mix(spark, docs, none, monkeypatch, rows_a_bucket):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", rows_a_bucket)
