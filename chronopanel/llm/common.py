@@ -19,9 +19,11 @@ FOLDS = 5
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share; a temporary one only where none is named and both are one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="chronopanel-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -167,7 +167,7 @@ def mix(
     offsets = sums.select(
         F.col("source").alias("__source"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__before")
     )
-    within = W.partitionBy("source", "__bucket").orderBy("__key", "size").rowsBetween(W.unboundedPreceding, 0)
+    within = W.partitionBy("source", "__bucket").orderBy("__key", "size", *carry).rowsBetween(W.unboundedPreceding, 0)
     placed = (
         spread.withColumn("__upto", F.sum("size").over(within))
         .join(offsets, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__b")), "left")

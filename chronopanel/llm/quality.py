@@ -1,17 +1,17 @@
 """Quality by compression: zstandard dictionaries of good and bad labelled text.
 
-Two dictionaries are built from labelled training texts, one a class. A text's score comes from the difference of its
-compressed sizes under both, divided by its length, and is calibrated by logistic regression on labelled training
-texts that neither dictionary has seen. The mean of both sizes, divided by the length, is the second input of the calibration: a text
-that repeats itself is small under either dictionary, so that its difference alone says little.
-
-Only the fit is bounded: `sample` labelled rows a class (those with the smallest hash of the id) and `doc_bytes` bytes of
-each in a dictionary. Scoring reads every text whole, in frames of bounded size, in one pass without a shuffle; the broadcast
-model is as large as two dictionaries, whatever the corpus.
-
-Defined results: null and empty texts get the calibrated share of good labels (feature 0); with labels of one class or none, every score is the
-smoothed share of good labels; equal texts get equal scores; repeated rows are scored each; an empty table gives an empty
-result; other columns are ignored.
+Two dictionaries are trained on whole labelled texts, one a class, by zstandard's own method, which looks for what recurs in all parts of them. A
+text is compressed under both, in frames of `FRAME` bytes so that a dictionary counts in every part of a long text alike; the difference of the
+compressed sizes, divided by the length, becomes a score by logistic regression on labelled training texts that neither dictionary
+has seen, whole and in the same frames.
+
+Only the fit is bounded: `sample` labelled rows a class (those with the smallest hash of the id), with their whole texts, half of them for the
+dictionaries of at most `dict_bytes`. Scoring reads every text whole, in one pass without a shuffle; the broadcast model is as large as two
+dictionaries, whatever the corpus.
+
+Defined results: null and empty texts get the calibrated share of good labels (difference 0); with fewer than four texts of a class, every score is the
+smoothed share of good labels; an id with several rows gives one training text; equal texts get equal scores; repeated rows are scored each; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,31 +26,35 @@ from pyspark.sql import functions as F
 from .common import FOLDS, bounded_batches, documents, fold, slices
 
 SAMPLE = 1200
-DOC_BYTES = 4096
 DICT_BYTES = 112 << 10
-LEVEL = 1
-FRAME = 1 << 20
-#: Compressed size a byte from which the calibration counts a text as unusually small or large.
-NEUTRAL_SIZE = 0.3
+LEVEL = 3
+FRAME = 2048
 CUT = 0.3
 
 
-def sampled(docs: DataFrame, labels: DataFrame, label_col: str, n: int, doc_bytes: int) -> list[tuple[bytes, int]]:
-    """Up to n training texts a class, by the order of a hash of the id."""
+def sampled(docs: DataFrame, labels: DataFrame, label_col: str, n: int) -> list[tuple[bytes, int]]:
+    """Up to n whole training texts a class, by the order of a hash of the id."""
     known = labels.where(F.col(label_col).isin(0, 1) & (fold() != 0)).select("doc_id", F.col(label_col).alias("y")).distinct()
     keys = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         keys = part if keys is None else keys.unionByName(part)
-    rows = (
-        docs.where(fold() != 0)
-        .join(F.broadcast(keys), "doc_id")
-        .select("doc_id", "y", F.substring(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 1, doc_bytes).alias("b"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "b")
-        .limit(4 * n)
-        .collect()
-    )
-    return [(bytes(r["b"]), int(r["y"])) for r in rows]
+    rows = docs.where(fold() != 0).join(F.broadcast(keys), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("t")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").collect()
+    return [((r["t"] or "").encode("utf-8", "replace"), int(r["y"])) for r in rows]
+
+
+def frames(text: bytes) -> list[bytes]:
+    return [text[k : k + FRAME] for k in range(0, len(text), FRAME)]
+
+
+def dictionary(texts: list[bytes], size: int) -> bytes:
+    """A dictionary trained on whole texts; if they are too few to train on, the texts themselves."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(size, [f for t in texts for f in frames(t) if len(f) >= 8], level=LEVEL).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"\n".join(texts)[-size:]
 
 
 class Model:
@@ -69,24 +73,18 @@ class Model:
 
             made = []
             for raw in (self.good, self.bad):
-                d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
+                d = z.ZstdCompressionDict(raw)
                 d.precompute_compress(level=LEVEL)
                 made.append(z.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False))
             self._ready = made
         return self._ready
 
-    def feature(self, text: bytes) -> tuple[float, float]:
-        """Bytes saved by the good dictionary against the bad one, and the mean compressed size, for each byte of text."""
+    def feature(self, text: bytes) -> float:
+        """Bytes that the good dictionary saves against the bad one, for each byte of the text."""
         if not text or not self.good or not self.bad:
-            return 0.0, NEUTRAL_SIZE
+            return 0.0
         good, bad = self._compressors()
-        gap = both = 0
-        for k in range(0, len(text), FRAME):
-            part = text[k : k + FRAME]
-            a, b = len(good.compress(part)), len(bad.compress(part))
-            gap += b - a
-            both += a + b
-        return gap / len(text), both / (2 * len(text))
+        return sum(len(bad.compress(f)) - len(good.compress(f)) for f in frames(text)) / len(text)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.coef is None:
@@ -95,10 +93,8 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _terms(features: np.ndarray) -> np.ndarray:
-    gap, size = features.reshape(-1, 2).T
-    small = np.maximum(0.0, NEUTRAL_SIZE - size)
-    return np.column_stack([np.ones_like(gap), 10 * gap, 10 * small, 10 * np.maximum(0.0, size - NEUTRAL_SIZE)])
+def _terms(gaps: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(gaps)), 10 * np.asarray(gaps)])
 
 
 def _logistic(a: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -114,25 +110,18 @@ def _logistic(a: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE, doc_bytes: int = DOC_BYTES, dict_bytes: int = DICT_BYTES) -> Model:
-    rows = sampled(docs, labels, label_col, sample, doc_bytes)
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE, dict_bytes: int = DICT_BYTES) -> Model:
+    rows = sampled(docs, labels, label_col, sample)
     n_good = labels.where(fold() != 0).agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)), F.count(label_col)).first()
     prior = ((n_good[0] or 0) + 1) / ((n_good[1] or 0) + 2)
     by = {y: [b for b, v in rows if v == y and b] for y in (0, 1)}
     if min(map(len, by.values())) < 4:
         return Model(b"", b"", None, prior)
-    raw = {}
-    for y, texts in by.items():
-        # short extracts of many texts: the nearest content is at the end of a raw dictionary
-        own = texts[0::2]
-        share = max(256, dict_bytes // max(1, len(own)))
-        raw[y] = b"\n".join(t[:share] for t in own)[-dict_bytes:]
-    size = min(len(raw[0]), len(raw[1]))
-    model = Model(raw[1][-size:], raw[0][-size:], None, prior)
+    model = Model(dictionary(by[1][0::2], dict_bytes), dictionary(by[0][0::2], dict_bytes), None, prior)
     held = [(model.feature(t), y) for y in (0, 1) for t in by[y][1::2]]
     x, y = np.array([v for v, _ in held]), np.array([float(v) for _, v in held])
     coef = _logistic(_terms(x), y)
-    # the sample is balanced by design: move the intercept to the share of good labels
+    # classes have their own numbers in the sample: move the intercept to the share of good labels
     mean = y.mean()
     coef[0] += np.log(prior / (1 - prior)) - np.log(mean / (1 - mean))
     model.coef = coef
@@ -147,7 +136,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches):
-            x = np.array([m.feature((t or "").encode()) for t in batch.column(1).to_pylist()], dtype=float).reshape(-1, 2)
+            x = np.array([m.feature((t or "").encode("utf-8", "replace")) for t in batch.column(1).to_pylist()], dtype=float)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m.score(x))], names=[id_col, "score"])
 
     kind = dict(docs.dtypes)[id_col]

@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next stage's
 `docs`. All but the last return the columns of `documents`. Every stage works on all rows that it gets, and its
-decisions take effect. Null and empty texts: language ID rejects them (no letter). An empty table passes through every stage.
+decisions take effect. Null and empty texts: language ID rejects them (no letter). Rows with a null id are documents of their own: they are
+kept by the near-dedup stage, which goes by ids, and treated like others by all other stages; rows that share an id are kept or
+dropped by it together, by their texts elsewhere. An empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -43,16 +45,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix to the target weights takes it (0 to 3 times)."""
+    """Every row as often as the mix to the target weights takes it (0 to 3 times). Rows are told apart by a number of their own, so null
+    and repeated ids are taken like any other."""
     ship(spark)
-    plan = mixing.mix(docs.select("doc_id", "text", "source"), mixing.word_count()).where("copies > 0")
-    plan = plan.groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    return (
-        docs.select(*COLUMNS)
-        .join(plan, "doc_id")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*COLUMNS)
-    )
+    rows = written(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    plan = mixing.mix(rows.select("__row", "doc_id", "text", "source"), mixing.word_count(), carry=["__row"])
+    plan = plan.where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy"))
+    return rows.join(plan, "__row").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
