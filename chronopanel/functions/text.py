@@ -51,3 +51,14 @@ def plain_text(html: Column | str) -> Column:
 def sentences(text: Column | str) -> Column:
     """Array of the sentences of a text."""
     return F.filter(F.split(col(text), r"(?<=[.!?]) +"), lambda s: s != "")
+
+
+def literal(raw: Column | str) -> list[Column]:
+    """A command line's value: its kind (none, bool, int, float, text) and the value as text of that kind."""
+    x = F.trim(col(raw))
+    kind = (
+        F.when(F.lower(x).isin("none", "null", ""), "none").when(F.lower(x).isin("true", "false"), "bool").when(x.rlike(r"^[+-]?\d+$"), "int")
+        .when(x.try_cast("double").isNotNull(), "float").otherwise("text")
+    )
+    value = F.when(kind == "bool", F.lower(x)).when(kind == "int", x.try_cast("long").cast("string")).when(kind == "float", x.try_cast("double").cast("string")).when(kind == "text", x)
+    return [kind.alias("kind"), value.alias("value")]

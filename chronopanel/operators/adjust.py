@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
 from .grid import by_label
+from .reconcile import _kept
 
 
 def later_product(x: str) -> Column:
@@ -77,14 +78,18 @@ def override_actions(rows: DataFrame, rules: DataFrame) -> DataFrame:
 def patch_prices(rows: DataFrame, patches: DataFrame, limit: float = 0.05) -> DataFrame:
     """fill adds missing days; replace and replace_close change a close that moves by less than the limit (or the patch's max_move).
 
-    patches: ticker, date, close, action, max_move?. Rows keep their columns; a changed row's source ends in -patch."""
-    fill = patches.where("action = 'fill'").join(rows.select("ticker", "date"), ["ticker", "date"], "left_anti")
-    fill = fill.select("ticker", "date", "close", F.concat(F.lit("x"), F.lit("-patch")).alias("source"))
-    p = patches.where("action <> 'fill'").select("ticker", "date", F.col("close").alias("__new"), F.coalesce("max_move", F.lit(limit)).alias("__most"))
+    patches: ticker, date, close, action, max_move?, source?. Rows keep their columns; the source of a changed or added row is that of the patch,
+    or of the row or else of the label's rows, and ends in -patch."""
+    if "source" not in patches.columns:
+        patches = patches.withColumn("source", F.lit(None).cast("string"))
+    usual = rows.groupBy("ticker").agg(F.mode("source").alias("__usual"))
+    fill = patches.where("action = 'fill'").join(rows.select("ticker", "date"), ["ticker", "date"], "left_anti").join(usual, "ticker", "left")
+    fill = fill.select("ticker", "date", "close", F.concat(F.coalesce("source", "__usual", F.lit("")), F.lit("-patch")).alias("source"))
+    p = patches.where("action <> 'fill'").select("ticker", "date", F.col("close").alias("__new"), F.coalesce("max_move", F.lit(limit)).alias("__most"), F.col("source").alias("__from"))
     out = rows.join(p, ["ticker", "date"], "left")
     ok = F.abs(ratio("__new", "close") - 1.0) <= F.col("__most")
-    out = out.withColumn("source", F.when(ok, F.concat("source", F.lit("-patch"))).otherwise(F.col("source"))).withColumn("close", F.when(ok, F.col("__new")).otherwise(F.col("close")))
-    return out.drop("__new", "__most").unionByName(fill, allowMissingColumns=True)
+    out = out.withColumn("source", F.when(ok, F.concat(F.coalesce("__from", "source"), F.lit("-patch"))).otherwise(F.col("source"))).withColumn("close", F.when(ok, F.col("__new")).otherwise(F.col("close")))
+    return out.drop("__new", "__most", "__from").unionByName(fill, allowMissingColumns=True)
 
 
 def placeholders(rows: DataFrame, removals: DataFrame, days: int = 7) -> DataFrame:
@@ -107,21 +112,57 @@ def trim_filler(rows: DataFrame, days: int = 30) -> DataFrame:
     return x.where(keep).drop("__real", "__end")
 
 
-def splice_check(own: DataFrame, other: DataFrame, least: int = 60, tolerance: float = 0.02) -> DataFrame:
+PRICES = ["open", "high", "low", "close", "dividends"]
+
+
+def splice_check(own: DataFrame, other: DataFrame, least: int = 60, tolerance: float = 0.005) -> DataFrame:
     """Overlap of two series per label: days, median ratio, spread (q95 - q05) / median, accepted."""
     j = own.select("ticker", "date", F.col("close").alias("a")).join(other.select("ticker", "date", F.col("close").alias("b")), ["ticker", "date"])
     q = lambda p: F.percentile(ratio("a", "b"), F.lit(p))
-    s = j.groupBy("ticker").agg(F.count("*").alias("days"), q(0.5).alias("ratio"), q(0.05).alias("q05"), q(0.95).alias("q95"))
+    s = j.groupBy("ticker").agg(F.count(ratio("a", "b")).alias("days"), q(0.5).alias("ratio"), q(0.05).alias("q05"), q(0.95).alias("q95"))
     s = s.withColumn("spread", ratio(F.col("q95") - F.col("q05"), "ratio"))
-    return s.select("ticker", "days", "ratio", "spread", ((F.col("days") >= least) & (F.col("spread") <= tolerance)).alias("accepted"))
+    return s.select("ticker", "days", "ratio", "spread", F.coalesce((F.col("days") >= least) & (F.col("spread") <= tolerance), F.lit(False)).alias("accepted"))
 
 
-def splice(own: DataFrame, other: DataFrame, least: int = 60, tolerance: float = 0.02) -> DataFrame:
+def splice(own: DataFrame, other: DataFrame, least: int = 60, tolerance: float = 0.005) -> DataFrame:
     """Accepted labels get the other series' rows before their own first date, scaled by the median ratio."""
-    ok = splice_check(own, other, least, tolerance).where("accepted").select("ticker", F.col("ratio").alias("__r"))
-    first = own.groupBy("ticker").agg(F.min("date").alias("__first"))
-    old = other.join(ok, "ticker").join(first, "ticker").where(F.col("date") < F.col("__first"))
-    return own.unionByName(old.withColumn("close", F.col("close") * F.col("__r")).select(*own.columns))
+    first = own.groupBy("ticker").agg(F.min("date").alias("before"))
+    rules = first.select("ticker", F.col("ticker").alias("prefix"), "before")
+    return splice_prefixes(own, other, rules, least, tolerance)[0]
+
+
+def splice_prefixes(own: DataFrame, prefixes: DataFrame, rules: DataFrame, least: int = 60, tolerance: float = 0.005) -> tuple[DataFrame, DataFrame]:
+    """Puts earlier histories in front of series, and reports each: (label, prefix, before, turn, days, ratio, spread, accepted).
+
+    rules: ticker, prefix, before, and optionally tol (spread allowed instead of the default), ratio (declared instead of measured), drop_own
+    (the label's own rows before the date give way). `prefixes` has the rows of all prefixes, labelled by them. A prefix is scaled by the
+    median ratio of closes on common days, refused with fewer than `least` of them or a larger spread; its prices and dividends are all
+    scaled, days that the label has are left out, and its rows' source ends in -splice. Of several prefixes of a label the newest comes first, each in
+    front of what the newer ones made."""
+    for name, kind in (("tol", "double"), ("ratio", "double"), ("drop_own", "boolean")):
+        if name not in rules.columns:
+            rules = rules.withColumn(name, F.lit(None).cast(kind))
+    rules = rules.withColumn("turn", F.row_number().over(W.partitionBy("ticker").orderBy(F.desc("before"), "prefix")))
+    turns = rules.agg(F.max("turn")).first()[0] or 0  # prefixes of one label: a handful
+    report = None
+    for turn in range(1, turns + 1):
+        now = rules.where(F.col("turn") == turn).drop("turn")
+        mine = own.join(now.select("ticker", F.col("before").alias("__d"), F.coalesce("drop_own", F.lit(False)).alias("__drop")), "ticker", "left")
+        stay = mine.where(~F.coalesce(F.col("__drop") & (F.col("date") < F.col("__d")), F.lit(False))).select(*own.columns)
+        old = prefixes.withColumnRenamed("ticker", "prefix").join(now.select("ticker", "prefix", "before"), "prefix")
+        seen = splice_check(stay, old, least, tolerance).select("ticker", "days", F.col("ratio").alias("__measured"), "spread")
+        said = now.join(seen, "ticker", "left").withColumn("days", F.coalesce("days", F.lit(0)))
+        good = F.col("ratio").isNotNull() | ((F.col("days") >= least) & (F.col("spread") <= F.coalesce("tol", F.lit(tolerance))))
+        said = _kept(said.select("ticker", "prefix", "before", F.lit(turn).alias("turn"), "days", F.coalesce("ratio", "__measured").alias("ratio"), "spread", F.coalesce(good, F.lit(False)).alias("accepted"), "drop_own"))
+        taken = said.where("accepted").select("ticker", "prefix", F.col("ratio").alias("__k"), F.coalesce("drop_own", F.lit(False)).alias("__drop"), F.col("before").alias("__d"))
+        # a refused prefix leaves the label as it was
+        cut = own.join(taken.where("__drop").select("ticker", "__d"), "ticker", "left").where(F.col("__d").isNull() | (F.col("date") >= F.col("__d"))).select(*own.columns)
+        add = old.drop("before").join(taken.select("ticker", "prefix", "__k", "__d"), ["ticker", "prefix"]).where(F.col("date") < F.col("__d")).join(cut.select("ticker", "date"), ["ticker", "date"], "left_anti")
+        add = add.select("ticker", "date", *[(F.col(c) * F.col("__k")).alias(c) if c in PRICES else F.concat(c, F.lit("-splice")).alias(c) if c == "source" else F.col(c) for c in own.columns if c in prefixes.columns and c not in ("ticker", "date")])
+        own = cut.unionByName(add, allowMissingColumns=True).select(*own.columns)
+        own = _kept(own) if turn < turns else own
+        report = said.drop("drop_own") if report is None else report.unionByName(said.drop("drop_own"))
+    return own, report
 
 
 def carve(rows: DataFrame, rules: DataFrame) -> DataFrame:

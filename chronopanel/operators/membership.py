@@ -2,21 +2,41 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .grid import MAX_CALENDAR
+from .reconcile import _kept
+
 
-def rename_closure(renames: DataFrame, steps: int = 12) -> DataFrame:
-    """(old, new) followed to its end; cycles stop where they would repeat. Doubles its reach each round, so a few rounds suffice."""
-    first = renames.select("old", "new").where("old <> new").groupBy("old").agg(F.min("new").alias("new"))
-    out = first
-    for _ in range(max(1, steps.bit_length())):
-        nxt = out.select(F.col("old").alias("new"), F.col("new").alias("__n"))
-        out = out.join(nxt, "new", "left").select("old", F.when(F.col("__n").isNotNull() & (F.col("__n") != F.col("old")), F.col("__n")).otherwise(F.col("new")).alias("new"))
+def _reach(edges: DataFrame) -> DataFrame:
+    """(old, new, open): followed to its end, or as many times as there are labels; open if it could be followed further. Each round
+    doubles the hops."""
+    out = _kept(edges.select("old", "new", F.lit(True).alias("open")))
+    for _ in range(out.count().bit_length() + 1):
+        if not out.where("open").take(1):
+            break
+        ahead = out.select(F.col("old").alias("new"), F.col("new").alias("__n"))
+        out = _kept(out.join(ahead, "new", "left").select("old", F.coalesce("__n", "new").alias("new"), F.col("__n").isNotNull().alias("open")))
     return out
 
 
+def rename_closure(renames: DataFrame) -> DataFrame:
+    """(old, new) followed to its end, however long; a label that runs into a cycle ends where the cycle would repeat itself."""
+    first = _kept(renames.select("old", "new").where("old <> new").groupBy("old").agg(F.min("new").alias("new")))
+    far = _reach(first)
+    ring = far.where("open").select(F.col("new").alias("old")).distinct()
+    if not ring.take(1):
+        return far.select("old", "new")
+    last = first.join(ring, "old", "left_semi").select(F.col("new").alias("old"), F.col("old").alias("__before"))
+    tails = _reach(first.join(ring, "old", "left_anti")).select("old", "new")
+    entered = tails.join(last.withColumnRenamed("old", "new"), "new", "left").select("old", F.coalesce("__before", "new").alias("new"))
+    return entered.unionByName(last.withColumnRenamed("__before", "new"))
+
+
 def apply_renames(df: DataFrame, renames: DataFrame) -> DataFrame:
     r = rename_closure(renames).select(F.col("old").alias("ticker"), "new")
     return df.join(r, "ticker", "left").withColumn("ticker", F.coalesce("new", "ticker")).drop("new")
@@ -84,3 +104,27 @@ def prepend(spans: DataFrame, earlier: DataFrame, cutover) -> DataFrame:
     cut = F.lit(cutover).cast("date")
     old = earlier.where(F.col("start") < cut).withColumn("end", F.when(F.col("end").isNull() | (F.col("end") > cut), cut).otherwise(F.col("end")))
     return merge_spans(spans.select("ticker", "start", "end").unionByName(old.select("ticker", "start", "end")))
+
+
+def from_spells(spells: DataFrame, calendar: DataFrame, first: dt.date, until: dt.date) -> DataFrame:
+    """Membership intervals from a list's spells (ticker, start, end: its last day) within [first, until): a start moves to the next trading day, an
+    end to the trading day after the last one in the spell; a spell that reaches the window's last day ends with the window."""
+    days = calendar.select(F.col("date").alias("__d")).where((F.col("__d") >= F.lit(first)) & (F.col("__d") < F.lit(until))).distinct()
+    days = days.withColumn("__next", F.lead("__d").over(W.orderBy("__d")))  # a calendar: one small task
+    s = spells.where((F.col("start") < F.lit(until)) & (F.col("end") >= F.lit(first))).withColumn("__s", F.greatest("start", F.lit(first))).withColumn("__e", F.least("end", F.date_sub(F.lit(until), 1)))
+    listed = F.broadcast(days.agg(F.sort_array(F.collect_list(F.struct("__d", "__next"))).alias("__days")))  # bounded by MAX_CALENDAR days
+    if days.count() > MAX_CALENDAR:
+        raise ValueError("the calendar is too long")
+    at = s.crossJoin(listed)
+    begin = F.array_min(F.transform(F.filter("__days", lambda d: d["__d"] >= F.col("__s")), lambda d: d["__d"]))
+    after = F.array_max(F.filter("__days", lambda d: d["__d"] <= F.col("__e")))["__next"]
+    end = F.when(F.col("end") >= F.date_sub(F.lit(until), 1), F.lit(until)).otherwise(F.coalesce(after, F.lit(until)))
+    return at.select("ticker", begin.alias("start"), end.alias("end"))
+
+
+def coverage_counts(members: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Members on each trading day of intervals [start, end): by arrivals and leavings, without days x members."""
+    moves = members.select(F.col("start").alias("date"), F.lit(1).alias("n")).unionByName(members.where("end IS NOT NULL").select(F.col("end").alias("date"), F.lit(-1).alias("n")))
+    both = moves.unionByName(calendar.select("date").distinct().withColumn("n", F.lit(0))).groupBy("date").agg(F.sum("n").alias("n"))
+    both = both.withColumn("members", F.sum("n").over(W.orderBy("date").rowsBetween(W.unboundedPreceding, 0)))
+    return both.join(calendar.select("date").distinct(), "date", "left_semi").select("date", "members")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 from .grid import by_label
 from .pit import join_intervals, members_on
+from .reconcile import within_days
 
 
 def status(failures: Column, known: Column | None = None) -> Column:
@@ -90,7 +91,7 @@ def big_moves(bars: DataFrame, spans: DataFrame, size: float) -> DataFrame:
 
 def volume_spikes(bars: DataFrame, events: DataFrame, before: int = 60, gap: int = 14, after: int = 6, lead: int = 12) -> DataFrame:
     """For each event (ticker, event): median volume `gap` to `before` days earlier, and the peak from `lead` days before to `after` days after."""
-    j = events.join(bars.select("ticker", "date", "volume"), "ticker").withColumn("__d", F.datediff("date", "event")).where(F.col("__d").between(-before, after))
+    j = within_days(events, bars.select("ticker", "date", "volume"), "ticker", "event", "date", max(before, after)).withColumn("__d", F.datediff("date", "event")).where(F.col("__d").between(-before, after))
     calm, near = F.col("__d").between(-before, -gap), F.col("__d").between(-lead, after)
     g = j.groupBy("ticker", "event").agg(
         F.median(F.when(calm, F.col("volume"))).alias("usual"), F.max(F.when(near, F.struct("volume", F.col("date").alias("at")))).alias("p"),
@@ -120,6 +121,22 @@ def single_swap(days: DataFrame, tolerance: float) -> DataFrame:
     return days.withColumn("verdict", F.when(F.abs(a - b) <= tolerance, "undecided").when(a < b, "ours").otherwise("theirs"))
 
 
+def spinoff_returns(rows: DataFrame, spins: DataFrame, within: float = 1e-6) -> DataFrame:
+    """The return on each spin-off date (ticker, date, ret) against the holder's: parent's shares, the spun shares and cash, by the parent's
+    last close. Without a row or a price before it is UNVERIFIED. spins as in `adjust.spinoff_factors`."""
+    for name, value in (("parent_shares", 1.0), ("cash", 0.0)):
+        if name not in spins.columns:
+            spins = spins.withColumn(name, F.lit(value))
+    s = spins.groupBy("ticker", "ex_date").agg(
+        F.max("parent_prev_close").alias("__p0"), F.max(F.col("parent_close") * F.coalesce("parent_shares", F.lit(1.0)) + F.coalesce("cash", F.lit(0.0))).alias("__own"),
+        F.sum(F.col("ratio") * F.col("spinco_close")).alias("__spun"),
+    )
+    got = s.join(rows.select("ticker", F.col("date").alias("ex_date"), "ret"), ["ticker", "ex_date"], "left")
+    want = ratio(F.col("__own") + F.col("__spun"), "__p0") - 1.0
+    off = F.abs(F.col("ret") - want)
+    return got.select("ticker", "ex_date", want.alias("want"), "ret", status((off > within).cast("int"), off.isNotNull()).alias("status"))
+
+
 def all_checks(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), tables)
 

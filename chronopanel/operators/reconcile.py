@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,8 +40,14 @@ def nearest(a: DataFrame, b: DataFrame, key: str, date: str, ident: str, days: i
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """Cuts lineage, in the folder of checkpoints where one is named."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.localCheckpoint()
+    """Cuts lineage by a checkpoint, in the folder that the session names; in one of this machine only where driver and executors are one."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="chronopanel-"))
+    return df.checkpoint()
 
 
 def mutual_best(pairs: DataFrame, left: str, right: str, cost: list[str]) -> DataFrame:
@@ -58,27 +66,37 @@ def mutual_best(pairs: DataFrame, left: str, right: str, cost: list[str]) -> Dat
     return out
 
 
-def best_correlated(mine: DataFrame, theirs: DataFrame, value: str, least: int, digits: int = 6) -> DataFrame:
+def best_correlated(mine: DataFrame, theirs: DataFrame, value: str, least: int, digits: int = 6, but_itself: bool = False) -> DataFrame:
     """For each label the other source's label with the highest correlation over at least so many common dates."""
     a = mine.select("date", F.col("ticker").alias("a"), F.col(value).alias("x"))
     b = theirs.select("date", F.col("ticker").alias("b"), F.col(value).alias("y"))
-    c = a.join(b, "date").groupBy("a", "b").agg(F.corr("x", "y").alias("c"), F.count("*").alias("n"))
+    pairs = a.join(b, "date")
+    c = (pairs.where("a <> b") if but_itself else pairs).groupBy("a", "b").agg(F.corr("x", "y").alias("c"), F.count("*").alias("n"))
     c = c.where((F.col("n") >= least) & F.col("c").isNotNull() & ~F.isnan("c")).withColumn("c", rounded("c", digits))
     return c.groupBy("a").agg(F.max("c").alias("c"), F.min_by("b", F.struct(-F.col("c"), F.col("b"))).alias("b")).select("a", "b", "c")
 
 
-def agreement(a: DataFrame, b: DataFrame, value: str, within: float) -> DataFrame:
-    """Per label: common days, share of days on which two sources' values agree, largest difference."""
+def agreement(a: DataFrame, b: DataFrame, value: str, within: float, by_year: bool = False) -> DataFrame:
+    """Per label (and year): common days, share of days on which two sources' values agree, largest difference."""
     x = a.select("ticker", "date", F.col(value).alias("x")).join(b.select("ticker", "date", F.col(value).alias("y")), ["ticker", "date"])
     x = x.where("x IS NOT NULL AND y IS NOT NULL").withColumn("d", F.abs(F.col("x") - F.col("y")))
-    return x.groupBy("ticker").agg(F.count("*").alias("days"), F.avg((F.col("d") < within).cast("double")).alias("share"), F.max("d").alias("largest"))
+    return x.groupBy("ticker", *([F.year("date").cast("long").alias("year")] if by_year else [])).agg(F.count("*").alias("days"), F.avg((F.col("d") < within).cast("double")).alias("share"), F.max("d").alias("largest"))
+
+
+def within_days(a: DataFrame, b: DataFrame, key: str, date: str, other: str, days: int) -> DataFrame:
+    """Pairs of rows with equal keys whose dates are at most so many days apart: joined on key and band of dates, so that a frequent key does not
+    meet all its dates."""
+    width = max(1, days)
+    band = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / width)
+    left = a.withColumn("__band", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: i + band(date))))
+    return left.join(b.withColumn("__band", band(other)), [key, "__band"]).where(F.abs(F.datediff(other, date)) <= days).drop("__band")
 
 
 def audit(mine: DataFrame, theirs: DataFrame, days: int, tolerance: float) -> DataFrame:
     """Amounts of dated events in two sources (ticker, date, amount): match, amount, date, missing or extra."""
     a, b = mine.select("ticker", "date", "amount"), theirs.select("ticker", F.col("date").alias("other"), F.col("amount").alias("theirs"))
     gap = F.datediff("other", "date")
-    pairs = a.join(b, "ticker").where(F.abs(gap) <= days)
+    pairs = within_days(a, b, "ticker", "date", "other", days)
     pairs = pairs.withColumn("l", F.struct("ticker", "date")).withColumn("r", F.struct("ticker", "other")).withColumn("gap", F.abs(gap)).withColumn("off", F.abs(F.col("amount") - F.col("theirs")))
     got = mutual_best(pairs, "l", "r", ["gap", "off"])
     matched = got.select("ticker", "date", "other", "amount", "theirs", F.when(F.col("off") > tolerance, "amount").when(F.col("gap") > 0, "date").otherwise("match").alias("status"))

@@ -124,12 +124,12 @@ def _two(spark, sf):
     return b.where(F.col("date") >= dt.date(1997, 6, 1)), b.where(F.col("date") < dt.date(1999, 1, 1)).withColumn("close", rounded(F.col("close") * k, 4))
 
 
-@query("d10_splice_check", sql(f"SELECT ticker, n AS days, {r('m')} AS ratio, {r('(b - a) / m')} AS spread, n >= 60 AND (b - a) / m <= CAST(0.02 AS DOUBLE) AS accepted FROM (SELECT x.ticker, count(*) AS n, median(x.close / y.close) AS m, quantile_cont(x.close / y.close, 0.05) AS a, quantile_cont(x.close / y.close, 0.95) AS b FROM own x JOIN other y ON x.ticker = y.ticker AND x.date = y.date GROUP BY 1)", *BRAND, OTHER))
+@query("d10_splice_check", sql(f"SELECT ticker, n AS days, {r('m')} AS ratio, {r('(b - a) / m')} AS spread, n >= 60 AND (b - a) / m <= CAST(0.005 AS DOUBLE) AS accepted FROM (SELECT x.ticker, count(*) AS n, median(x.close / y.close) AS m, quantile_cont(x.close / y.close, 0.05) AS a, quantile_cont(x.close / y.close, 0.95) AS b FROM own x JOIN other y ON x.ticker = y.ticker AND x.date = y.date GROUP BY 1)", *BRAND, OTHER))
 def d10(spark, sf):
     return rounded_all(A.splice_check(*_two(spark, sf)))
 
 
-@query("d10_splice", sql("SELECT ticker, count(*) AS n, min(date) AS first FROM (SELECT ticker, date FROM own UNION ALL SELECT o.ticker, o.date FROM other o WHERE o.date < (SELECT min(date) FROM own w WHERE w.ticker = o.ticker) AND o.ticker IN (SELECT x.ticker FROM own x JOIN other y ON x.ticker = y.ticker AND x.date = y.date GROUP BY 1 HAVING count(*) >= 60 AND (quantile_cont(x.close / y.close, 0.95) - quantile_cont(x.close / y.close, 0.05)) / median(x.close / y.close) <= CAST(0.02 AS DOUBLE))) GROUP BY 1", *BRAND, OTHER))
+@query("d10_splice", sql("SELECT ticker, count(*) AS n, min(date) AS first FROM (SELECT ticker, date FROM own UNION ALL SELECT o.ticker, o.date FROM other o WHERE o.date < (SELECT min(date) FROM own w WHERE w.ticker = o.ticker) AND o.ticker IN (SELECT x.ticker FROM own x JOIN other y ON x.ticker = y.ticker AND x.date = y.date GROUP BY 1 HAVING count(*) >= 60 AND (quantile_cont(x.close / y.close, 0.95) - quantile_cont(x.close / y.close, 0.05)) / median(x.close / y.close) <= CAST(0.005 AS DOUBLE))) GROUP BY 1", *BRAND, OTHER))
 def d10b(spark, sf):
     return A.splice(*_two(spark, sf)).groupBy("ticker").agg(F.count("*").alias("n"), F.min("date").alias("first"))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_indicators, q_market, q_more, q_series
+from . import q_indicators, q_market, q_more, q_rest, q_series
 
-MODULES = [q_indicators, q_market, q_series, q_more]
+MODULES = [q_indicators, q_market, q_series, q_more, q_rest]
 
 
 def queries() -> dict:

@@ -108,9 +108,23 @@ def test_membership_edits(spark):
     assert membership.bridge_gaps(s, kept).count() == 3
 
 
-def test_rename_cycle_ends(spark):
-    got = membership.rename_closure(spark.createDataFrame([("A", "B"), ("B", "A"), ("C", "D")], "old string, new string"))
-    assert ("C", "D") in set(rows(got)) and got.count() == 3
+def test_rename_chains_and_cycles(spark):
+    """Against following each label by itself: a long chain, cycles, labels that lead into them, self-renames."""
+    pairs = [(f"c{k:03}", f"c{k + 1:03}") for k in range(70)] + [("A", "B"), ("B", "A"), ("R", "S"), ("S", "T"), ("T", "R"), ("X", "Y"), ("Y", "S"), ("Q", "Q"), ("c050", "c051")]
+    step = {a: b for a, b in pairs if a != b}
+    want = {}
+    for a in step:
+        seen, x = [a], step[a]
+        while x not in seen:
+            seen.append(x)
+            if x not in step:
+                break
+            x = step[x]
+        want[a] = seen[-1]
+    got = {r["old"]: r["new"] for r in membership.rename_closure(spark.createDataFrame(pairs, "old string, new string")).collect()}
+    assert got == want and want["c000"] == "c070" and want["X"] == "R"
+    assert membership.rename_closure(spark.createDataFrame([], "old string, new string")).count() == 0
+
 
 
 def test_audit_statuses(spark):
@@ -173,3 +187,53 @@ def test_streaming_bars(spark, sf, tmp_path):
 
     got = replay(spark, sf, hourly_bars)
     assert got.count() > 0 and {"ticker", "open", "high", "low", "close", "n"} <= set(got.columns)
+
+
+def test_splice_rules(spark):
+    """Refusal, a tolerance of a row's own, a declared ratio, own rows that give way, and newest first, all price columns scaled."""
+    kind = "ticker string, date date, open double, close double, dividends double, source string"
+    own = [(t, d(100 + k), 10.0, 10.0, 0.0, "y") for t in "ABCE" for k in range(80)] + [("E", d(99), 7.0, 7.0, 0.0, "y")]
+    pre = [("pA", d(k), 5.0, 5.0, 1.0, "c") for k in range(180)]
+    pre += [("pB", d(k), 5.0, 5.0 + 0.02 * (k % 7), 1.0, "c") for k in range(180)] + [("pC", d(k), 2.0, 2.0, 0.5, "c") for k in range(100)] + [("oA", d(k), 1.0, 1.0, 0.0, "c") for k in range(60)]
+    pre += [("pE", d(k), 5.0, 5.0, 0.0, "c") for k in range(180)]
+    rules = [("A", "pA", d(100), None, None, None), ("A", "oA", d(50), None, 3.0, None), ("B", "pB", d(100), None, None, None), ("C", "pC", d(100), None, 4.0, None), ("E", "pE", d(100), None, None, True)]
+    rule = spark.createDataFrame(rules, "ticker string, prefix string, before date, tol double, ratio double, drop_own boolean")
+    out, said = A.splice_prefixes(spark.createDataFrame(own, kind), spark.createDataFrame(pre, kind), rule)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["ticker"], {})[r["date"]] = r
+    assert {(r["ticker"], r["prefix"]): r["accepted"] for r in said.collect()} == {("A", "pA"): True, ("A", "oA"): True, ("B", "pB"): False, ("C", "pC"): True, ("E", "pE"): True}
+    assert len(got["A"]) == 180 and got["A"][d(60)]["open"] == 10.0 and got["A"][d(60)]["dividends"] == 2.0 and got["A"][d(60)]["source"] == "c-splice" and got["A"][d(100)]["source"] == "y"
+    assert got["A"][d(20)]["close"] == 10.0  # the newer prefix has these days already
+    assert len(got["B"]) == 80 and got["C"][d(0)]["close"] == 8.0 and got["E"][d(99)]["close"] == 10.0
+    loose = rule.withColumn("tol", N.F.lit(0.1))
+    assert A.splice_prefixes(spark.createDataFrame(own, kind), spark.createDataFrame(pre, kind), loose)[0].where("ticker = 'B'").count() == 180
+
+
+def test_patches_keep_sources(spark):
+    rows_ = spark.createDataFrame([("A", d(0), 10.0, "y"), ("A", d(1), 10.0, "y"), ("A", d(3), 10.0, "z")], "ticker string, date date, close double, source string")
+    patches = spark.createDataFrame([("A", d(2), 11.0, "fill", None, None), ("A", d(0), 10.1, "replace", None, "w"), ("A", d(1), 20.0, "replace_close", None, None), ("A", d(3), 12.0, "replace_close", 0.3, None)], "ticker string, date date, close double, action string, max_move double, source string")
+    got = {r["date"]: (r["close"], r["source"]) for r in A.patch_prices(rows_, patches).collect()}
+    assert got == {d(0): (10.1, "w-patch"), d(1): (10.0, "y"), d(2): (11.0, "y-patch"), d(3): (12.0, "z-patch")}
+
+
+def test_spinoff_check_is_three_valued(spark):
+    r_ = spark.createDataFrame([("A", d(1), 0.15), ("B", d(1), 0.2)], "ticker string, date date, ret double")
+    s = spark.createDataFrame([("A", d(1), 100.0, 80.0, 0.5, 30.0, 20.0), ("A", d(1), 100.0, 80.0, 1.0, 0.0, 20.0), ("B", d(1), 100.0, 80.0, 0.5, 30.0, 0.0), ("C", d(1), 100.0, 80.0, 0.5, 30.0, 0.0)], "ticker string, ex_date date, parent_prev_close double, parent_close double, ratio double, spinco_close double, cash double")
+    assert {x["ticker"]: x["status"] for x in quality.spinoff_returns(r_.replace(0.15, 0.15), s).collect()} == {"A": "PASS", "B": "FAIL", "C": "UNVERIFIED"}
+
+
+def test_list_against_brute_force(spark):
+    from chronopanel.operators import reconcile
+
+    rng = __import__("random").Random(3)
+    a = sorted({(rng.choice("AB"), rng.randint(0, 60)) for _ in range(25)})
+    b = sorted({(rng.choice("AB"), rng.randint(0, 60)) for _ in range(25)})
+    frame = lambda x: spark.createDataFrame([(t, d(k), 1.0) for t, k in x], "ticker string, date date, amount double")
+    free_a, free_b, want = set(a), set(b), set()
+    for _, x, y in sorted((abs(x[1] - y[1]), x, y) for x in a for y in b if x[0] == y[0] and abs(x[1] - y[1]) <= 6):
+        if x in free_a and y in free_b:
+            free_a.remove(x), free_b.remove(y), want.add((x[0], d(x[1]), d(y[1])))
+    got = reconcile.audit(frame(a), frame(b), 6, 0.5)
+    assert {(r["ticker"], r["date"], r["other"]) for r in got.where("date IS NOT NULL AND other IS NOT NULL").collect()} == want
+    assert got.where("status = 'extra'").count() == len(free_a) and got.where("status = 'missing'").count() == len(free_b)
