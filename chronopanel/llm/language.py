@@ -72,6 +72,35 @@ def _direction(w: np.ndarray, u: np.ndarray, x: np.ndarray, keep: bool = False):
     return (out, tape) if keep else out
 
 
+def _scan(w: np.ndarray, u: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The states of one direction [T, H, B], as `_direction` computes them, with units before windows and no memory of the way: a sigmoid is a
+    hyperbolic tangent of half its argument, so gates need one pass of it."""
+    t_all, b = x.shape
+    h = u.shape[0]
+    half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), h)[:, None]
+    wt, ut = np.ascontiguousarray(w.T) * half, np.ascontiguousarray(u.T) * half
+    out = np.empty((t_all, h, b), np.float32)
+    state, g, r = np.zeros((h, b), np.float32), np.empty((3 * h, b), np.float32), np.empty((3 * h, b), np.float32)
+    pads = (x == 256).any(axis=1)
+    for t in range(t_all):
+        np.take(wt, x[t], axis=1, out=g, mode="clip")
+        np.dot(ut, state, out=r)
+        gates, new = g[: 2 * h], r[2 * h :]
+        gates += r[: 2 * h]
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        new *= gates[:h]
+        new += g[2 * h :]
+        np.tanh(new, out=new)
+        state = np.subtract(state, new, out=out[t])
+        state *= gates[h:]
+        state += new
+        if pads[t]:
+            state[:, x[t] == 256] = 0
+    return out
+
+
 def _back(w: np.ndarray, u: np.ndarray, x: np.ndarray, tape: list, d_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of input table and recurrent matrix, through time."""
     h = u.shape[0]
@@ -105,18 +134,15 @@ class Network:
             "v": (rng.standard_normal((2 * h, k)) * 0.3).astype(f), "c": np.zeros(k, f),
         }
 
-    def states(self, x: np.ndarray) -> np.ndarray:
-        """Both directions' states [T, B, 2H] for bytes x [T, B]."""
-        p = self.p
-        return np.concatenate([_direction(p["wf"], p["uf"], x), _direction(p["wb"], p["ub"], x[::-1])[::-1]], axis=2)
-
     def positions(self, x: np.ndarray) -> np.ndarray:
-        """Probabilities of every position [T, B, languages]."""
-        logits = self.states(x) @ self.p["v"]
-        logits += self.p["c"]
-        logits -= logits.max(axis=2, keepdims=True)
+        """Probabilities of every position [T, languages, B] for bytes x [T, B]."""
+        p, h = self.p, self.p["uf"].shape[0]
+        logits = np.matmul(p["v"][:h].T, _scan(p["wf"], p["uf"], x))
+        logits += np.matmul(p["v"][h:].T, _scan(p["wb"], p["ub"], x[::-1])[::-1])
+        logits += p["c"][:, None]
+        logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=2, keepdims=True)
+        logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -166,8 +192,8 @@ class Network:
         sums = np.zeros((len(texts), k))
         for owners, x in _windows(texts):
             q = self.positions(x)[CONTEXT : len(x) - CONTEXT]
-            q *= (x[CONTEXT : len(x) - CONTEXT] != 256)[..., None]
-            np.add.at(sums, owners, q.sum(axis=0, dtype=np.float64))
+            q *= (x[CONTEXT : len(x) - CONTEXT] != 256)[:, None, :]
+            np.add.at(sums, owners, q.sum(axis=0, dtype=np.float64).T)
         return sums / np.maximum(1, [len(t) for t in texts])[:, None]
 
 
