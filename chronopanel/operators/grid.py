@@ -47,7 +47,14 @@ def as_of(left: DataFrame, right: DataFrame, on: list[str], left_time: str, righ
 
 
 def next_on_or_after(left: DataFrame, days: DataFrame, time: str, out: str, strict: bool = False) -> DataFrame:
-    """The first calendar date at (or strictly after) a date. The calendar is small and broadcast: a sorted array is searched."""
-    dates = days.agg(F.sort_array(F.collect_list("date")).alias("__days"))
-    cond = (lambda d: d > F.col(time)) if strict else (lambda d: d >= F.col(time))
-    return left.crossJoin(F.broadcast(dates)).withColumn(out, F.array_min(F.filter("__days", cond))).drop("__days")
+    """The first calendar date at (or strictly after) a date; NULL after the last. Every date that a calendar date is the next one of is a row of
+    a table as long as the calendar's span, which is joined by equality."""
+    is_date = days.schema["date"].dataType.typeName() == "date"
+    plus = lambda c, n: F.date_add(c, n) if is_date else F.col(c) + n
+    steps = days.select("date").distinct().withColumn("__p", F.lag("date").over(W.orderBy("date"))).where("__p IS NOT NULL")  # a calendar: one small task
+    of = F.sequence(F.col("__p"), plus("date", -1)) if strict else F.sequence(plus("__p", 1), F.col("date"))
+    table = steps.select(F.explode(of).alias("__at"), F.col("date").alias("__next"))
+    first = days.agg(F.min("date").alias("__first"))  # one row
+    got = left.join(table, F.col(time) == F.col("__at"), "left").crossJoin(F.broadcast(first))
+    early = F.col(time) < F.col("__first") if strict else F.col(time) <= F.col("__first")
+    return got.select(*left.columns, F.when(early, F.col("__first")).otherwise(F.col("__next")).alias(out))

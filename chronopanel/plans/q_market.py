@@ -160,7 +160,7 @@ def p12(spark, sf):
 @query("p13_booked_events", "SELECT o_orderkey FROM orders WHERE (o_custkey, o_orderstatus) NOT IN ((1, 'F'), (2, 'O'), (4, 'P'))")
 def p13(spark, sf):
     booked = spark.createDataFrame([(1, "F"), (2, "O"), (4, "P")], "o_custkey long, o_orderstatus string")
-    return S.parquet(spark, sf, "orders").join(F.broadcast(booked), ["o_custkey", "o_orderstatus"], "left_anti").select("o_orderkey")
+    return S.parquet(spark, sf, "orders").join(booked, ["o_custkey", "o_orderstatus"], "left_anti").select("o_orderkey")
 
 
 @query("p14_conditional", "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > CAST(0.05 AS DOUBLE) THEN l_tax ELSE -l_tax END AS x FROM lineitem")

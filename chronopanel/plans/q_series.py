@@ -301,14 +301,14 @@ _ME = "me AS (SELECT max(date) AS date FROM days GROUP BY date_trunc('month', da
 def b03(spark, sf):
     p = panel(spark, sf).select("ticker", "date", rounded(indicators.returns(60)).alias("s"))
     days = C.rebalance_days(calendar(bars(spark, sf)))
-    picks = C.top(p.join(F.broadcast(days), "date"), "s", 5)
+    picks = C.top(p.join(days, "date"), "s", 5)
     return picks.select("date", "ticker", C.equal_weight().alias("weight"))
 
 
 @query("b05_inverse_vol_weights", sql(f"SELECT date, ticker, {r('coalesce(inv, m) / sum(coalesce(inv, m)) OVER (PARTITION BY date)')} AS weight FROM (SELECT *, median(inv) OVER (PARTITION BY date) AS m FROM (SELECT ticker, date, CAST(1 AS DOUBLE) / nullif(stddev_samp(close) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 0) AS inv FROM grid) WHERE date IN (SELECT date FROM me))", *GRID, _ME))
 def b05(spark, sf):
     p = panel(spark, sf).withColumn("vol", F.stddev_samp("close").over(by_label().rowsBetween(-9, 0)))
-    p = p.join(F.broadcast(C.rebalance_days(calendar(bars(spark, sf)))), "date")
+    p = p.join(C.rebalance_days(calendar(bars(spark, sf))), "date")
     return p.select("date", "ticker", rounded(C.inverse_vol_weight("vol")).alias("weight"))
 
 
@@ -344,7 +344,7 @@ def b19(spark, sf):
     m = C.month_end(bars(spark, sf), "close").withColumn("g", (N.ratio("close", F.lag("close").over(w)) - 1.0) / 10).where("g IS NOT NULL")
     ret = m.groupBy("month").agg(rounded(F.avg("g")).alias("ret"))
     windows = spark.createDataFrame([("a", dt.date(1997, 1, 1), dt.date(1997, 12, 31)), ("b", dt.date(1999, 6, 1), dt.date(2000, 6, 30))], "name string, s date, e date")
-    return ret.join(F.broadcast(windows), F.col("month").between(F.col("s"), F.col("e"))).groupBy("name").agg(rounded(F.product(1 + F.col("ret")) - 1).alias("total"))
+    return ret.join(windows, F.col("month").between(F.col("s"), F.col("e"))).groupBy("name").agg(rounded(F.product(1 + F.col("ret")) - 1).alias("total"))
 
 
 @query("b21_coverage", sql(f"SELECT CAST(date_trunc('month', due.date) AS DATE) AS period, count(*) AS due, count(b.close) AS have, {r('CAST(count(b.close) AS DOUBLE) / count(*)')} AS share FROM (SELECT DISTINCT s.ticker, d.date FROM (SELECT DISTINCT date FROM bars) d JOIN spans s ON s.start <= d.date AND (s.\"end\" IS NULL OR s.\"end\" > d.date)) due LEFT JOIN bars b ON b.ticker = due.ticker AND b.date = due.date GROUP BY 1", *MEMBERS))
