@@ -13,14 +13,13 @@ state has no arc for a word it follows the failure arc, then it takes the arc.
 
 The automaton of a corpus grows with it and is never in one place. Texts are scored in groups of bounded size. A group asks
 for the counts of its own words, pairs and triples; requests are dealt by hash to reducers, which sum the counts of all
-training texts and answer each group with the counts it needs. A count that a group can infer (what a training group has is in
-the training texts at least once) is not sent. So each group gets its part of the automaton, and no table is
-broadcast or collected; the number of reducers follows the bytes of the table. Requests and answers travel as sorted arrays, each entry once a
-group, which also bounds the share of a frequent word. Counts are 64-bit. Words are known by 64-bit hashes, pairs and triples by 56 bits: a run
+training texts and answer each group with the counts of what it asked for, in the order of the question. So each group gets its part of the
+automaton, and no table is broadcast or collected; the number of reducers follows the bytes of the table. Requests travel as sorted
+arrays, each entry once a group, which also bounds the share of a frequent word. Counts are 64-bit. Words are known by 64-bit hashes, pairs and triples by 56 bits: a run
 of words that no text has is taken for one of n others with probability n / 2^56.
 
-A group's key is made of its content, and a group without answers is an error, so a changed partitioning
-between both passes over the texts cannot go unnoticed.
+A group is known by its partition and its number there, and carries a hash of its content: answers to another content, or none, are an
+error, so a changed partitioning between both passes over the texts cannot go unnoticed.
 
 Defined results: null and empty texts have one token, the end; without training texts every count is zero; repeated rows are counted and
 scored each; an empty table gives an empty result; other columns are ignored.
@@ -99,26 +98,31 @@ def arcs(tok: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return two, three
 
 
-def _packed(h: np.ndarray, n: np.ndarray) -> bytes:
-    """Sorted hashes as differences, and counts; bytes of equal place together."""
-    d = np.diff(h, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    c = n.astype("<u8").view(np.uint8).reshape(-1, 8).T
-    body = np.ascontiguousarray(d).tobytes() + np.ascontiguousarray(c).tobytes()
-    return struct.pack("<I", len(h)) + zstandard.ZstdCompressor(level=1).compress(body)
+def _columns(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _rows(raw: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _packed(n: np.ndarray, h: np.ndarray | None = None) -> bytes:
+    """Counts, and sorted hashes as differences; bytes of equal place together."""
+    body = _columns(n) + (_columns(np.diff(h, prepend=np.uint64(0))) if h is not None else b"")
+    return struct.pack("<I", len(n)) + zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray | None]:
     n = struct.unpack_from("<I", b)[0]
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[4:], max_output_size=16 * n), np.uint8)
-    h = np.cumsum(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel(), dtype=np.uint64)
-    return h, np.ascontiguousarray(raw[8 * n :].reshape(8, n).T).view("<i8").ravel()
+    raw = zstandard.ZstdDecompressor().decompress(b[4:], max_output_size=16 * n)
+    return _rows(raw[: 8 * n], "<i8"), np.cumsum(_rows(raw[8 * n :], "<u8"), dtype=np.uint64) if len(raw) > 8 * n else None
 
 
 class _Group:
     """Texts of one fold that are scored together."""
 
-    def __init__(self) -> None:
-        self.ids, self.texts, self.toks, self.n = [], [], [], 0
+    def __init__(self, key: int) -> None:
+        self.key, self.ids, self.texts, self.toks, self.n = key, [], [], [], 0
 
     def add(self, doc_id, text, tok) -> None:
         self.ids.append(doc_id)
@@ -130,31 +134,39 @@ class _Group:
         sizes = np.array([len(t) for t in self.toks])
         return np.concatenate(self.toks), np.cumsum(sizes) - sizes
 
-    def key(self, held: bool) -> int:
-        x = xxhash.xxh64(b"%d" % held)
+    def proof(self) -> int:
+        x = xxhash.xxh64()
         for i, t in zip(self.ids, self.toks, strict=True):
-            x.update(b"%d" % (-1 if i is None else i))
+            x.update(b"%d,%d;" % (-1 if i is None else i, len(t)))
             x.update(t)
         return x.intdigest() >> 1
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, _Group]]:
-    open_ = {True: _Group(), False: _Group()}
+    open_, n = {}, 0
     for batch in slices(batches):
-        for doc_id, text, held in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+        for doc_id, text, held, part in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
             tok = tokens(text)
-            g = open_[held]
-            if g.n and g.n + len(tok) > GROUP_TOKENS:
+            g = open_.get(held)
+            if g is not None and g.n + len(tok) > GROUP_TOKENS:
                 yield held, g
-                g = open_[held] = _Group()
+                g = None
+            if g is None:
+                g = open_[held] = _Group((part << 32) + n)
+                n += 1
             g.add(doc_id, text, tok)
-    for held, g in open_.items():
-        if g.n:
-            yield held, g
+    yield from open_.items()
+
 
+_REQUEST = "reducer int, grp long, proof long, held boolean, kind int, body binary"
+_REQUEST_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("proof", pa.int64()), ("held", pa.bool_()), ("kind", pa.int32()), ("body", pa.binary())])
+_ANSWER = "reducer int, grp long, proof long, kind int, n long, v long, body binary"
+_ANSWER_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("proof", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("body", pa.binary())])
 
-_REQUEST = "reducer int, grp long, held boolean, kind int, body binary"
-_REQUEST_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("held", pa.bool_()), ("kind", pa.int32()), ("body", pa.binary())])
+
+def _batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 64], strict=True), schema, strict=True)], schema=schema)
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,89 +175,71 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[new], np.diff(np.concatenate([new, [len(values)]]))
 
 
+def _lists(tok: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The distinct words (kind 1), pairs (2) and triples (3) of a group, and how often each occurs."""
+    two, three = arcs(tok, first)
+    for kind, values in ((1, tok), (2, two), (3, np.delete(three, first))):
+        if len(values):
+            yield kind, *_distinct(values)
+
+
 def _ask(reducers: int):
-    """Requests of every group: its distinct words (kind 1), pairs (2) and triples (3) with their counts, by reducer."""
+    """Requests of every group: its distinct words, pairs and triples with their counts, by reducer."""
     whole = (np.arange(1, reducers, dtype=object) * (2**64 // reducers)).astype(np.uint64)
     edges = {1: whole, 2: whole >> np.uint64(64) - ARC_BITS, 3: whole >> np.uint64(64) - ARC_BITS}
 
     def run(batches):
         for held, g in _groups(batches):
-            tok, first = g.joined()
-            key = g.key(held)
-            two, three = arcs(tok, first)
-            three = np.delete(three, first)
-            for kind, values in ((1, tok), (2, two), (3, three)):
-                if not len(values):
-                    continue
-                h, n = _distinct(values)
+            proof = g.proof()
+            for kind, h, n in _lists(*g.joined()):
                 cut = [0, *np.searchsorted(h, edges[kind]).tolist(), len(h)]
-                rows = [(r, key, held, kind, _packed(h[a:b], n[a:b])) for r, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-                for k in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows[k : k + 64], strict=True), _REQUEST_ARROW, strict=True)], schema=_REQUEST_ARROW)
-            del two, three, values, h, n
+                yield from _batches([(r, g.key, proof, held, kind, _packed(n[a:b], h[a:b])) for r, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a], _REQUEST_ARROW)
             release()
 
     return run
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the counts of training groups over all requests and answers each. Rows come sorted by (reducer, kind)."""
-    at, held_rows = None, []
-
-    def flush():
-        groups, flags, hs, ns = [], [], [], []
-        for g, held, body in held_rows:
-            h, n = _unpacked(body)
-            groups.append(g), flags.append(held), hs.append(h), ns.append(n)
-        sizes = [len(h) for h in hs]
-        flat = np.concatenate(hs)
-        del hs
-        order = np.argsort(flat)
-        new = np.concatenate([[True], np.diff(flat[order]) != 0])
-        inverse = np.empty(len(flat), np.int64)
-        inverse[order] = np.cumsum(new) - 1
-        train = np.concatenate([n if not f else np.zeros_like(n) for n, f in zip(ns, flags, strict=True)])
-        total = np.add.reduceat(train[order], np.flatnonzero(new))
-        del order, new, train, ns
-        out, end = [(at[0], -1, at[1], int(total.sum()), int((total > 0).sum()), None)], 0
-        for g, held, size in zip(groups, flags, sizes, strict=True):
-            h, n = flat[end : end + size], total[inverse[end : end + size]]
-            end += size
-            told = n >= (1 if held else 2)
-            out.append((at[0], g, at[1], None, None, _packed(h[told], n[told])))
-        return out
-
-    def emit(rows):
-        for k in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows[k : k + 64], strict=True), _ANSWER_ARROW, strict=True)], schema=_ANSWER_ARROW)
-
-    for batch in batches:
-        for r, g, held, kind, body in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
-            if (r, kind) != at:
-                if held_rows:
-                    yield from emit(flush())
-                at, held_rows = (r, kind), []
-            held_rows.append((g, held, body))
-    if held_rows:
-        yield from emit(flush())
+def _summed(reducer: int, kind: int, rows: list[tuple]) -> list[tuple]:
+    """Sums the counts of training groups over all requests of a reducer and kind and answers each."""
+    ns, hs = zip(*[_unpacked(r[5]) for r in rows], strict=True)
+    ends = np.cumsum([0, *map(len, ns)])
+    flat, train = np.concatenate(hs), np.concatenate([np.zeros_like(n) if r[3] else n for n, r in zip(ns, rows, strict=True)])
+    del ns, hs
+    order = np.argsort(flat)
+    new = np.concatenate([[True], np.diff(flat[order]) != 0])
+    total = np.add.reduceat(train[order], np.flatnonzero(new))
+    of = np.empty(len(flat), np.int64)
+    of[order] = np.cumsum(new) - 1
+    out = [(reducer, -1, 0, kind, int(total.sum()), int((total > 0).sum()), None)]
+    return out + [(reducer, r[1], r[2], kind, None, None, _packed(total[of[a:b]])) for r, a, b in zip(rows, ends, ends[1:], strict=False)]
 
 
-_ANSWER = "reducer int, grp long, kind int, n long, v long, body binary"
-_ANSWER_ARROW = pa.schema([("reducer", pa.int32()), ("grp", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("body", pa.binary())])
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (reducer, kind)."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (row[0], row[4]) != at:
+                if held:
+                    yield from _batches(_summed(*at, held), _ANSWER_ARROW)
+                at, held = (row[0], row[4]), []
+            held.append(row)
+    if held:
+        yield from _batches(_summed(*at, held), _ANSWER_ARROW)
 
 
 class Automaton:
-    """Counts of some words, pairs and triples, as states, arcs and failure arcs. Absent counts are `floor`."""
+    """Sorted hashes and counts of some words, pairs and triples, as states, arcs and failure arcs. Others have no count."""
 
-    def __init__(self, words, pairs, triples, n: int, v: int, floor: int) -> None:
-        self.tables, self.n, self.v, self.floor = (words, pairs, triples), n, v, floor
+    def __init__(self, words, pairs, triples, n: int, v: int) -> None:
+        self.tables, self.n, self.v = (words, pairs, triples), n, v
 
     def _count(self, kind: int, h: np.ndarray) -> np.ndarray:
         keys, counts = self.tables[kind]
         if not len(keys):
-            return np.full(len(h), float(self.floor))
+            return np.zeros(len(h))
         k = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        return np.where(keys[k] == h, counts[k], self.floor).astype(float)
+        return np.where(keys[k] == h, counts[k], 0).astype(float)
 
     def traverse(self, tok: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, log10 probability by the root alone, and by the automaton, of each text.
@@ -283,6 +277,7 @@ class Automaton:
         return add((c1 > 0).astype(np.int64), first), add(base, first), add(weight, first)
 
 
+_TEXTS = 4  # kind of a row that carries a group's texts
 _SCORE = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -296,6 +291,7 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     if not stable:
         rows = written(rows, "lm-texts")
+    rows = rows.withColumn("part", F.spark_partition_id())  # of the scan, also beneath a union
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     reducers = max(parts(docs.sparkSession), -(-size // REDUCER_BYTES))
     asked = rows.mapInArrow(_ask(reducers), _REQUEST).repartitionById(reducers, "reducer").sortWithinPartitions("reducer", "kind")
@@ -304,57 +300,54 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     n, v = int(totals[0] or 0), int(totals[1] or 0)
 
     def send(batches):
-        for held, g in _groups(batches):
-            body = zstandard.ZstdCompressor(level=1).compress("\0".join(g.texts).encode("utf-8", "surrogatepass")) if not any("\0" in t for t in g.texts) else None
-            many = [body] if body is not None else [zstandard.ZstdCompressor(level=1).compress(t.encode("utf-8", "surrogatepass")) for t in g.texts]
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for _, g in _groups(batches):
+            raw = [t.encode("utf-8", "surrogatepass") for t in g.texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g.key(held)], pa.int64()), pa.array([0 if held else 1], pa.int32()), pa.array([g.ids], pa.list_(pa.int64())), pa.array([many], pa.list_(pa.binary()))],
-                names=["grp", "floor", "ids", "texts"],
+                [pa.array([g.key], pa.int64()), pa.array([g.proof()], pa.int64()), pa.array([squeeze(b"".join(raw))], pa.binary()), pa.array([g.ids], pa.list_(pa.int64())), pa.array([[len(t) for t in raw]], pa.list_(pa.int64()))],
+                names=["grp", "proof", "body", "ids", "sizes"],
             )
 
-    sent = rows.mapInArrow(send, "grp long, floor int, ids array<long>, texts array<binary>")
+    sent = rows.mapInArrow(send, "grp long, proof long, body binary, ids array<long>, sizes array<long>")
+    none = F.lit(None).cast("array<long>")
     both = (
-        answers.where("grp <> -1").select("grp", "kind", "body", F.lit(None).cast("int").alias("floor"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<binary>").alias("texts"))
-        .unionByName(sent.select("grp", F.lit(4).alias("kind"), F.lit(None).cast("binary").alias("body"), "floor", "ids", "texts"))
+        answers.where("grp <> -1").select("grp", "proof", "kind", "reducer", "body", none.alias("ids"), none.alias("sizes"))
+        .unionByName(sent.select("grp", "proof", F.lit(_TEXTS).alias("kind"), F.lit(0).alias("reducer"), "body", "ids", "sizes"))
         .repartition(reducers, "grp")
-        .sortWithinPartitions("grp", "kind")
+        .sortWithinPartitions("grp", "kind", "reducer")
     )
 
     def run(batches):
-        at, tables = None, None
+        at, told = None, {}
         for batch in batches:
-            for g, kind, body, floor, ids, texts in zip(*[batch.column(k).to_pylist() for k in range(6)], strict=True):
-                if g != at:
-                    at, tables = g, {1: [], 2: [], 3: []}
-                if kind != 4:
-                    tables[kind].append(body)
+            for grp, proof, kind, _, body, ids, sizes in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if grp != at:
+                    at, told = grp, {1: [], 2: [], 3: []}
+                if kind != _TEXTS:
+                    told[kind].append((proof, body))
                     continue
-                if not tables[1]:
-                    raise RuntimeError("the texts were dealt otherwise in the second pass")
-                model = Automaton(*(_table(tables[k]) for k in (1, 2, 3)), n, v, floor)
-                own = zstandard.ZstdDecompressor()
-                plain = [own.decompress(t).decode("utf-8", "surrogatepass") for t in texts]
-                toks = [tokens(t) for t in (plain[0].split("\0") if len(plain) != len(ids) else plain)]
-                sizes = np.array([len(t) for t in toks])
-                known, base, total = model.traverse(np.concatenate(toks), np.cumsum(sizes) - sizes)
+                raw = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+                ends = np.cumsum([0, *sizes]).tolist()
+                toks = [tokens(raw[a:b].decode("utf-8", "surrogatepass")) for a, b in zip(ends, ends[1:], strict=False)]
+                many = np.array([len(t) for t in toks])
+                tok, first = np.concatenate(toks), np.cumsum(many) - many
+                tables = {k: (np.empty(0, np.uint64), np.empty(0, np.int64)) for k in told}
+                for k, h, _ in _lists(tok, first):
+                    counts = [_unpacked(b)[0] for p, b in told[k] if p == proof]
+                    if sum(map(len, counts)) != len(h) or len(counts) != len(told[k]):
+                        raise RuntimeError("the texts were dealt otherwise in the second pass")
+                    tables[k] = h, np.concatenate(counts)
+                known, base, total = Automaton(*(tables[k] for k in (1, 2, 3)), n, v).traverse(tok, first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), n)), pa.array(base), pa.array(total)],
+                    [pa.array(ids, pa.int64()), pa.array(many), pa.array(known), pa.array(np.full(len(ids), n)), pa.array(base), pa.array(total)],
                     names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
-                del model, plain, toks
+                told, toks, tables = {1: [], 2: [], 3: []}, [], {}
                 release()
 
     return both.mapInArrow(run, _SCORE)
 
 
-def _table(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    if not bodies:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h, n = (np.concatenate(x) for x in zip(*map(_unpacked, bodies), strict=True))
-    order = np.argsort(h)
-    return h[order], n[order]
-
-
 def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = score(documents(spark, sf_dir, "doc_id", "text"), stable=True)
     return rows.select("doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
