@@ -307,20 +307,22 @@ class HalfIn(ledger.Strategy):
 
 
 _HALF = """p AS (SELECT date, day, last_value(close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c, close FROM grid WHERE ticker = 'Brand#1'),
-f AS (SELECT min(date) AS first, arg_min(close, date) AS price FROM p WHERE close IS NOT NULL AND day >= 1 AND day <= 6)"""
+g AS (SELECT arg_max(close, date) AS final, max(date) AS last FROM p WHERE close IS NOT NULL),
+f AS (SELECT min(date) AS first, 500000 / arg_min(close, date) AS shares, (SELECT final FROM g) AS final, (SELECT last FROM g) AS last, (SELECT min(p.date) FROM p, g WHERE p.date > g.last) AS gone FROM p WHERE close IS NOT NULL AND day >= 1 AND day <= 6)"""
+_LEFT = "499500 + f.shares * f.final * CAST(0.999 AS DOUBLE)"
 
 
-@query("b11_daily_loop", sql(f"SELECT p.date, {r('CASE WHEN f.first IS NULL OR p.date < f.first THEN 1000000 ELSE 1000000 - 500500 + 500000 / f.price * p.c END', 2)} AS value, {r('CASE WHEN f.first IS NULL OR p.date < f.first THEN 1000000 ELSE 499500 END', 2)} AS cash FROM p, f", *GRID, _HALF))
+@query("b11_daily_loop", sql(f"SELECT p.date, {r(f'CASE WHEN f.first IS NULL OR p.date < f.first THEN 1000000 WHEN p.date > f.last THEN {_LEFT} ELSE 499500 + f.shares * p.c END', 2)} AS value, {r(f'CASE WHEN f.first IS NULL OR p.date < f.first THEN 1000000 WHEN p.date > f.last THEN {_LEFT} ELSE 499500 END', 2)} AS cash FROM p, f", *GRID, _HALF))
 def b11(spark, sf):
-    """Ordered on the first day, filled on the next day with a price (at most five days of retries), with a fee of ten basis points, then held."""
+    """Ordered on the first day, filled on the next day with a price (at most five days of retries), with a fee of ten basis points, then held to its last price."""
     p = panel(spark, sf).select("ticker", "date", "close")
     first = p.agg(F.min("date")).first()[0]
     e = ledger.equity(ledger.simulate(p, {"half": HalfIn(schedule=[first])}))
     return e.select("date", rounded("value", 2).alias("value"), rounded("cash", 2).alias("cash"))
 
 
-@query("b06_orders", sql("SELECT f.first AS date, 'BUY' AS side, 500000 / f.price AS shares, CAST(500000 AS DOUBLE) AS value, CAST(500 AS DOUBLE) AS cost FROM f WHERE f.first IS NOT NULL", *GRID, _HALF))
+@query("b06_orders", sql(f"SELECT f.first AS date, 'BUY' AS side, {r('f.shares', 4)} AS shares, CAST(500000 AS DOUBLE) AS value, CAST(500 AS DOUBLE) AS cost FROM f WHERE f.first IS NOT NULL UNION ALL SELECT f.gone, 'DELIST', {r('f.shares', 4)}, {r('f.shares * f.final', 4)}, {r('f.shares * f.final / 1000', 4)} FROM f WHERE f.first IS NOT NULL AND f.gone IS NOT NULL", *GRID, _HALF))
 def b06(spark, sf):
     p = panel(spark, sf).select("ticker", "date", "close")
     first = p.agg(F.min("date")).first()[0]
-    return ledger.trades(ledger.simulate(p, {"half": HalfIn(schedule=[first])})).select("date", "side", "shares", "value", "cost")
+    return rounded_all(ledger.trades(ledger.simulate(p, {"half": HalfIn(schedule=[first])})).select("date", "side", "shares", "value", "cost"), 4)
