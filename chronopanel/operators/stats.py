@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio
 
 DAYS = 252.0
+#: Fewer shares than this are none.
+NOTHING = 1e-9
 
 
 def slope_no_intercept(df: DataFrame, key: str, x: str, e: str) -> DataFrame:
@@ -64,30 +65,32 @@ def relative_stats(equity: DataFrame, benchmark: DataFrame, key: str = "run", le
 
 
 def round_trips(trades: DataFrame, key: str = "run") -> DataFrame:
-    """Closed positions by average cost per label: trades (run, ticker, date, side, shares, price, cost).
-
-    A sell closes a share of the pooled cost; the trip ends when nothing is left. Sequential in one label's trades only.
-    """
-    schema = f"{key} string, ticker string, opened date, closed date, shares double, cost double, proceeds double, pnl double, ret double, days int"
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["date", "seq"] if "seq" in p else ["date"], kind="stable")
-        out, held, basis, opened = [], 0.0, 0.0, None
-        for t in p.itertuples():
-            if t.side == "BUY":
-                opened = t.date if held <= 1e-9 else opened
-                held += t.shares
-                basis += t.shares * t.price + t.cost
-            elif held > 1e-9:
-                n = min(t.shares, held)
-                cost = basis * n / held
-                got = n * t.price - t.cost
-                out.append((getattr(t, key), t.ticker, opened, t.date, n, cost, got, got - cost, got / cost - 1 if cost else None, (t.date - opened).days))
-                held -= n
-                basis -= cost
-        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-
-    return trades.groupBy(key, "ticker").applyInPandas(run, schema)
+    """Sales against the average cost of what a label's open trip holds: trades (run, ticker, date, side, shares, price, cost, seq?).
+
+    One row for each sale of something held: trip, opened, closed, shares, cost, proceeds, pnl, ret, days. A trip opens with a purchase when nothing
+    is held. Shares held are a running sum that cannot fall below zero: the sum less its lowest point so far. A sale leaves the share 1 - f of the
+    pooled cost, so the cost before a sale is the product of what was left times the sum of the purchases, each divided by the
+    product when it was made. All of it is windows in one order."""
+    order = ["date", "seq"] if "seq" in trades.columns else ["date"]
+    w = W.partitionBy(key, "ticker").orderBy(*order)
+    upto, buy, size = w.rowsBetween(W.unboundedPreceding, 0), F.col("side") == "BUY", F.abs("shares")
+    x = trades.withColumn("__sum", F.sum(F.when(buy, size).otherwise(-size)).over(upto))
+    x = x.withColumn("__held", F.col("__sum") - F.least(F.lit(0.0), F.min("__sum").over(upto)))
+    x = x.withColumn("__before", F.coalesce(F.lag("__held").over(w), F.lit(0.0)))
+    x = x.withColumn("trip", F.sum((buy & (F.col("__before") <= NOTHING)).cast("int")).over(upto)).where(buy | (F.col("__before") > NOTHING))
+    own = W.partitionBy(key, "ticker", "trip").orderBy(*order)
+    past = own.rowsBetween(W.unboundedPreceding, -1)
+    x = x.withColumn("__sold", F.when(~buy, F.least(size, F.col("__before")))).withColumn("__f", F.col("__sold") / F.col("__before"))
+    x = x.withColumn("__log", F.when(F.col("__f") < 1, F.log1p(-F.col("__f"))).otherwise(0.0))
+    x = x.withColumn("__left", F.exp(F.coalesce(F.sum("__log").over(past), F.lit(0.0))))
+    x = x.withColumn("__paid", F.when(buy, (size * F.col("price") + F.col("cost")) / F.col("__left")).otherwise(0.0))
+    x = x.withColumn("__cost", F.col("__f") * F.col("__left") * F.sum("__paid").over(past))
+    x = x.withColumn("opened", F.min("date").over(W.partitionBy(key, "ticker", "trip"))).where(~buy)
+    got = F.col("__sold") * F.col("price") - F.col("cost") * ratio("__sold", size)
+    return x.select(
+        key, "ticker", "trip", "opened", F.col("date").alias("closed"), F.col("__sold").alias("shares"), F.col("__cost").alias("cost"), got.alias("proceeds"),
+        (got - F.col("__cost")).alias("pnl"), (ratio(got, "__cost") - 1.0).alias("ret"), F.datediff("date", "opened").alias("days"),
+    )
 
 
 def trip_stats(trips: DataFrame, key: str = "run") -> DataFrame:
