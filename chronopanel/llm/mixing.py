@@ -5,8 +5,8 @@ size-weighted relative entropy to the corpus under token constraints, one for ea
 (languages, length classes), with an upper bound on a rate. The convex dual has one multiplier per source or class, and a document's rate is
 min(bound, exp(sum of its multipliers)). Newton steps solve it: each is one distributed aggregation of the tilted sizes of all
 documents, and of their slopes (the tilted sizes below the bound), by source and classes. From these cells come the gradient and the
-Hessian; sources are eliminated from it first, as a document has one source, so that a dense system remains for the classes only. A step
-that does not bring the constraints closer is halved. Sums are taken over decimals, so reruns agree to the last bit.
+Hessian; sources are eliminated from it first, as a document has one source, so that a dense system remains for the classes only. A step that lowers the dual
+is halved. Sums are taken over decimals, so reruns agree to the last bit.
 
 Rates become copies by one pass: every document is taken floor(rate) times, and the fraction is made
 up from whole documents in the order of the MD5 of their id, as long as the middle of a document's
@@ -38,7 +38,7 @@ MAX_CLASSES = 2_000
 MAX_CELLS = 2_000_000
 BUCKET_ROWS = 4_000
 NEWTON_STEPS = 100
-CLOSE = 1e-12
+CLOSE = 1e-11
 
 
 def word_count(text: Column | str = "text") -> Column:
@@ -73,7 +73,7 @@ def _cells(rows: DataFrame, keys: list[str], lam: list[dict], most: float) -> li
         rows = rows.join(F.broadcast(table), F.col(key).eqNullSafe(F.col(f"__v{k}")))  # bounded by MAX_SOURCES and MAX_CLASSES
         tilt = tilt + F.col(f"__lam{k}")
     rate = F.least(F.lit(most), F.exp(tilt))
-    rows = rows.select(*keys, (F.col("size") * rate).cast("decimal(32,12)").alias("__tilted"), (tilt <= math.log(most)).alias("__free"))
+    rows = rows.select(*keys, (F.col("size") * rate).cast("decimal(32,12)").alias("__tilted"), (tilt <= math.log(most) + 1e-12).alias("__free"))
     sums = rows.groupBy(*keys).agg(F.sum("__tilted").alias("t"), F.sum(F.when(F.col("__free"), F.col("__tilted"))).alias("f")).take(MAX_CELLS + 1)
     if len(sums) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} combinations of sources and classes")
@@ -84,10 +84,10 @@ def balance(rows: DataFrame, keys: list[str], goals: list[dict], most: float = M
     """Multipliers of the dual, for each key the multiplier of each of its values. `rows` has `size` and the keys; goals are the
     words that each value is to have. The first key is the sources. Goals of zero switch a value off."""
     at = [{v: i for i, v in enumerate(g)} for g in goals]
-    ends = np.cumsum([0, *map(len, goals)])
+    ends, bound = np.cumsum([0, *map(len, goals)]), math.log(most)
     goal = np.concatenate([np.fromiter(g.values(), float, len(g)) for g in goals])
     off = goal <= 0
-    x, step, last = np.where(off, -700.0, 0.0), None, np.inf
+    x, step, best = np.where(off, -700.0, 0.0), None, -np.inf
     for _ in range(steps):
         lam = [dict(zip(g, x[a:b], strict=True)) for g, a, b in zip(goals, ends, ends[1:], strict=False)]
         cells = _cells(rows, keys, lam, most)
@@ -102,11 +102,14 @@ def balance(rows: DataFrame, keys: list[str], goals: list[dict], most: float = M
         worst = float(np.max(np.abs(gap) / np.maximum(goal, 1.0)))
         if worst < CLOSE:
             return lam
-        if step is not None and worst > last * (1 - 1e-9) and np.abs(step).max() > 1e-12:
-            step = step / 2  # not closer: go half the way back
+        # the dual is concave: its value tells whether a step went too far
+        tilt = x[where].sum(axis=1)
+        value = float((goal * np.where(off, 0.0, x)).sum() - (mass * (1 + np.maximum(0.0, tilt - bound))).sum())
+        if step is not None and value < best - 1e-12 * abs(best):
+            step = step / 2
             x = np.where(off, x, x - step)
             continue
-        last = min(last, worst)
+        best = value
         # Hessian: diagonal for sources, dense for the classes beside them
         n = ends[1]
         diag = np.zeros(n)
@@ -123,8 +126,14 @@ def balance(rows: DataFrame, keys: list[str], goals: list[dict], most: float = M
             schur = dense - (cross / diag) @ cross.T
             part = np.linalg.lstsq(schur + 1e-12 * np.eye(m) * max(1.0, np.trace(dense)), gap[n:] - (cross / diag) @ gap[:n], rcond=1e-13)[0]
             step = np.concatenate([(gap[:n] - part @ cross) / diag, part])
-        step = np.where(off, 0.0, np.clip(step, -5.0, 5.0))
-        x = x + step
+        to = np.where(off, x, x + np.clip(step, -5.0, 5.0))
+        for k in range(len(keys)):
+            # a multiplier above which all its documents are at the bound changes nothing: it stops there
+            rest = to[where].sum(axis=1) - to[where[:, k]]
+            most_of = np.full(len(goal), -np.inf)
+            np.maximum.at(most_of, where[:, k], bound - rest)
+            to = np.where(np.isfinite(most_of) & ~off, np.minimum(to, most_of), to)
+        step, x = to - x, to
     raise RuntimeError("the multipliers did not settle: the constraints cannot be met together")
 
 
