@@ -29,13 +29,14 @@ from .common import bounded_batches, documents, fold, slices
 
 WINDOW = 512
 CONTEXT = 32
-TRAIN_WINDOW = 96
+TRAIN_WINDOW = 64
 HIDDEN = 8
 SAMPLE = 1200
 BATCH = 256
-STEPS = 350
+STEPS = 200
 ROWS = 1024  # windows at once in prediction
 UNKNOWN = "und"
+HASH_BITS = 12
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -231,8 +232,14 @@ def training_windows(text: bytes) -> np.ndarray:
 def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Network:
     """Trains on a bounded sample of labelled documents outside the held-out fold, dealt over the languages in turn."""
     known = docs.where((fold() != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= sample).orderBy("__k", "lang").limit(sample)
+    # the smallest hashes of each language: first a histogram of their upper bits, so that no language is ranked whole
+    marked = known.select("doc_id", "lang", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - HASH_BITS).alias("__bin"))
+    bins = W.partitionBy("lang").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    counts = marked.groupBy("lang", "__bin").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(bins), F.lit(0)))
+    last = counts.where(F.col("__before") < sample).groupBy("lang").agg(F.max("__bin").alias("__last"))
+    order = W.partitionBy("lang").orderBy("__bin", F.xxhash64("doc_id"), "doc_id")
+    few = marked.join(last, "lang").where("__bin <= __last").withColumn("__k", F.row_number().over(order))
+    ids = few.where(F.col("__k") <= sample).orderBy("__k", "lang").limit(sample)
     rows = (
         known.where("text IS NOT NULL")
         .join(F.broadcast(ids.select("doc_id", F.col("lang").alias("__lang")).distinct()), "doc_id")
