@@ -33,10 +33,12 @@ def exact_groups(
     id_col: str = "doc_id",
     prefix: int = 64,
     carry: dict[str, Column] | None = None,
+    group_key: bool = False,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, and the carried columns.
 
-    `content` is what must be equal; `prefix` code points of it feed the second level.
+    `content` is what must be equal; `prefix` code points of it feed the second level. With `group_key` also __len and __full, the length and the
+    full hash, which is NULL where length or prefix tell a row apart from all others.
     """
     spark = docs.sparkSession
     carry = carry or {}
@@ -72,28 +74,22 @@ def exact_groups(
         F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("__id").eqNullSafe(keep), F.lit(False)).alias("kept"),
         *carry,
+        *(["__len", "__full"] if group_key else []),
     )
 
 
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs` without those whose text an earlier id has; a row that occurs several times (id and text)
     stays once. All columns are kept."""
-    sha = "__sha"
-    while sha in docs.columns:
-        sha += "_"
-    marks = written(exact_groups(docs, normalised(text_col), id_col, carry={"__key": F.unhex(F.sha2(F.col("__content"), 256))}), "exact-marks")
-    dropped = marks.where("NOT kept").select(F.col(id_col).alias("__drop"), "__key").distinct()
-    again = marks.where("kept").groupBy(F.col(id_col).alias("__drop"), "__key").count().where("count > 1").select("__drop", "__key")
-    rows = docs.withColumn(sha, F.unhex(F.sha2(normalised(text_col), 256)))
-
-    def among(side: DataFrame) -> Column:
-        return rows[id_col].eqNullSafe(side["__drop"]) & (rows[sha] == side["__key"])
-
-    rows = rows.join(dropped, among(dropped), "left_anti")
-    if not again.isEmpty():
-        twice = rows.join(again, among(again), "left_semi").dropDuplicates([id_col, sha])
-        rows = rows.join(again, among(again), "left_anti").unionByName(twice)
-    return rows.drop(sha)
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "exact-texts")
+    marks = exact_groups(rows, normalised(text_col), id_col, carry={row: F.col(row)}, group_key=True).where("kept")
+    # a group's first id may have several rows of the text: one of them stays
+    first = marks.where("__full IS NOT NULL").groupBy(id_col, "__len", "__full").agg(F.min(row).alias(row))
+    stay = marks.where("__full IS NULL").select(row).unionByName(first.select(row))
+    return rows.join(stay, row, "left_semi").drop(row).select(*docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,6 +285,22 @@ def test_exact_groups(spark, docs, none, monkeypatch, keys):
     assert exact_dedup.exact_groups(none, exact_dedup.normalised()).count() == 0
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns and kept.count() == len(by)
+    low = lambda t: min((x for x in by[t] if x is not None), default=None)
+    assert sorted(((r["doc_id"], norm(r["text"])) for r in kept.collect()), key=key) == sorted(((low(t), t) for t in by), key=key)
+    clash = docs.withColumn("__row", docs.doc_id).withColumn("__len", docs.doc_id).withColumn("__full", docs.text).withColumn("__keep", docs.text)
+    assert exact_dedup.keep_first(clash).count() == len(by)
+
+
+def test_exact_groups_by_sql(spark, tmp_path):
+    import duckdb
+
+    path = str(tmp_path / "documents.parquet")
+    frame(spark, [r for r in corpus() if r[0] is not None]).select("doc_id", "text").coalesce(1).write.parquet(path)
+    cols = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    got = [tuple(r) for r in exact_dedup.op4_exact_dedup(spark, str(tmp_path)).select(cols).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert sorted(got) == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({exact_dedup.SQL['op4_exact_dedup']})").fetchall())
 
 
 # 5 phrase fingerprints
@@ -318,6 +334,19 @@ def test_compared_texts(spark, docs, none):
         new = fingerprints.edit(t, rows[(k + 1) % len(rows)][1])
         want.append((i, len(t), hashlib.sha256(new.encode()).hexdigest(), fingerprints.fingerprint(t).tobytes().hex()))
     assert got == sorted(want)
+    likes = {}
+    for r in fingerprints.compared(docs).collect():
+        likes.setdefault((-(2**63) if r["doc_id"] is None else r["doc_id"], r["fingerprint"], r["edited_fingerprint"]), []).append((r["near_edited"], r["near_next"]))
+
+    def alike(a, b):
+        pairs = [(x, y) for x, y in zip(a, b) if x or y]
+        same = sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+        return same if same == 1 else max(0.0, (same - 1 / 255) / (1 - 1 / 255))
+
+    for k, (i, t) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        a, e, b = (fingerprints.signature(fingerprints.hashes(slow_phrases(x))).tolist() for x in (t, fingerprints.edit(t, nxt), nxt))
+        assert any(x == pytest.approx((alike(a, e), alike(a, b))) for x in likes[i, bytes(a).hex(), bytes(e).hex()])
     one = fingerprints.compared(frame(spark, [(7, "abcabcd")])).first()
     assert one["near_next"] == 1.0 and fingerprints.compared(none).count() == 0
     assert fingerprints.likeness(fingerprints.fingerprint(""), fingerprints.fingerprint(None)) == 1.0
@@ -436,6 +465,14 @@ def test_constraints_that_interact(spark):
         mixing.balance(df, ["source"], [{s: 10 * goals[0][s] for s in "abc"}], steps=30)
 
 
+@pytest.mark.parametrize("share", [(0.999, 0.3, 2.99), (2.5, 2.9, 0.05), (3.0, 3.0, 0.001), (2.9999, 1e-5, 1.0)])
+def test_one_constraint_a_source(spark, share):
+    """Shares near the bound, at it, and near zero."""
+    df = spark.createDataFrame([(s, n) for s in "abc" for n in (1, 20, 300, 4000)], "source string, size long")
+    lam = mixing.balance(df, ["source"], [{s: 4321 * x for s, x in zip("abc", share)}])[0]
+    assert [min(3.0, math.exp(lam[s])) for s in "abc"] == pytest.approx(list(share), rel=1e-9)
+
+
 def test_mix_by_sql(spark, tmp_path):
     import duckdb
 
@@ -659,7 +696,7 @@ def test_probabilities_of_a_state_add_up():
     first = np.cumsum([len(t) for t in toks]) - [len(t) for t in toks]
     flat = np.concatenate(toks)
     two, three = scoring.arcs(flat, first)
-    model = scoring.Automaton(*map(scoring._distinct, (flat, two, np.delete(three, first))), len(flat), len(np.unique(flat)), 0)
+    model = scoring.Automaton(*map(scoring._distinct, (flat, two, np.delete(three, first))), len(flat), len(np.unique(flat)))
     for begin in ("a", "a b", "c c"):
         start = scoring.tokens(begin)[:-1]
         one = float(model.traverse(start, np.array([0]))[2][0])
@@ -669,8 +706,8 @@ def test_probabilities_of_a_state_add_up():
 
 def test_counts_above_32_bits():
     h, n = np.array([1, 5], np.uint64), np.array([2**40, 1])
-    got = scoring._unpacked(scoring._packed(h, n))
-    assert got[0].tolist() == [1, 5] and got[1].tolist() == [2**40, 1]
+    got = scoring._unpacked(scoring._packed(n, h))
+    assert got[1].tolist() == [1, 5] and got[0].tolist() == [2**40, 1] and scoring._unpacked(scoring._packed(n))[1] is None
 
 
 def test_registered_scores_of_repeated_rows(spark, tmp_path):
