@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, documents, parts, slices
 
 BINS = 128
+#: Bytes of text for each range of ids, on average.
+RANGE_BYTES = 32 << 20
 _FIRST = -(2**63)
 
 
@@ -104,8 +106,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (range, ghost, id, text) sorted within ranges; a ghost is the first text of the next range (after the last: of the first)."""
     bounded_batches(docs.sparkSession)
-    n = parts(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("id"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(parts(docs.sparkSession), -(-size // RANGE_BYTES))
     ids = rows.select("id")
     quantiles = ids.select(F.percentile_approx("id", [k / n for k in range(1, n)], 10_000)).first()[0] or []
     edges = np.array(sorted(set(quantiles)), np.int64)
@@ -131,7 +134,7 @@ def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         rows.withColumn("w", both("id"))
         .withColumn("p", F.explode(F.when(F.col("w.before") >= 0, F.array(place, ghost)).otherwise(F.array(place))))
         .select("p.range", "p.ghost", "id", "text")
-        .repartition(n, "range")
+        .repartitionById(n, "range")
         .sortWithinPartitions("range", "ghost", "id", "text")
     )
 
