@@ -49,3 +49,7 @@ def test_a07_of_zero(spark, zeros):
 
 def test_j17_of_zero(spark, zeros):
     assert any(np.isnan(v) for v in same(spark, "j17_correlation_match", zeros))
+
+
+def test_j18_of_zero(spark, zeros):
+    same(spark, "j18_value_fingerprint", zeros)
