@@ -53,3 +53,7 @@ def test_j17_of_zero(spark, zeros):
 
 def test_j18_of_zero(spark, zeros):
     same(spark, "j18_value_fingerprint", zeros)
+
+
+def test_w32_of_zero(spark, zeros):
+    assert any(np.isinf(v) for v in same(spark, "w32_growth", zeros))
