@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, slices
+from .common import bounded_batches, documents, fold, release, slices
 
 WINDOW = 512
 CONTEXT = 32
@@ -256,6 +256,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> Network:
     xs = [training_windows(t) for _, t in rows]
     ys = [np.full(len(x), net.langs.index(lang)) for x, (lang, _) in zip(xs, rows, strict=True)]
     net.train(np.concatenate(xs), np.concatenate(ys), steps)
+    del rows, xs, ys
+    release()
     return net
 
 

@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, parts, slices, written
-from .components import components
+from .common import among, bounded_batches, parts, slices, written
+from .components import components, roots
 
 BANDS, ROWS = 20, 5
 LEAST = 0.8
@@ -121,11 +121,9 @@ def pairs(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]
 
 def _verified(least: float):
     """Edges (a, b) of a spanning forest of the links within each sorted run of (cluster, i, j)."""
-    from .simhash import _roots
-
     def edges(sid: list[int], sets: list[np.ndarray]):
         a, b = pairs(sets, least)
-        parent = _roots(len(sets), a, b)
+        parent = roots(len(sets), a, b)
         moved = np.flatnonzero(parent != np.arange(len(sets)))
         ids = np.array(sid, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(ids[moved], pa.int64()), pa.array(ids[parent[moved]], pa.int64())], names=["a", "b"])
@@ -163,7 +161,8 @@ def links(docs: DataFrame, id_col: str, text_col: str, words: int, least: float
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / F.lit(block)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("m"))
     # an id with several texts brings all of them to each of its clusters; pairs are verified, so that does no harm
     mine = members.join(sizes, "cluster").select(F.col("id").alias("__i"), "cluster", "m").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("__i"), F.col(text_col).alias("__t")).join(mine, "__i").select("__t", "cluster", "m")
+    texts = among(docs.select(F.col(id_col).cast("long").alias("__i"), F.col(text_col).alias("__t")), "__i", members.select("id"), members.count())
+    texts = texts.join(mine, "__i").select("__t", "cluster", "m")
     dealt = texts.mapInArrow(_with_shingles(words), "cluster long, m int, sid long, s array<long>").where(F.size("s") > 0)
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("m")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     ranged = dealt.select("cluster", F.least("own", "o").cast("int").alias("i"), F.greatest("own", "o").cast("int").alias("j"), "sid", "s")

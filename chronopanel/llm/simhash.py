@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import overlap
 from .common import bounded_batches, documents, parts, slices, written
-from .components import components
+from .components import components, roots
 
 SHINGLE = 4
 MOST = 4
@@ -123,20 +123,6 @@ def _dealt(segments: int, most: int, n_pivots: int):
     return run
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray | None = None) -> np.ndarray:
-    """Smallest reachable index of each of n nodes, by hooking and pointer jumping."""
-    parent = np.arange(n) if parent is None else parent
-    while True:
-        ra, rb = parent[a], parent[b]
-        live = ra != rb
-        if not live.any():
-            return parent
-        a, b, ra, rb = a[live], b[live], ra[live], rb[live]
-        np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
-        while (parent != (up := parent[parent])).any():
-            parent = up
-
-
 def _linked(most: int, segments: int, n_pivots: int):
     """Edges (a, b) of a spanning forest of the links within each sorted run of (key, i, j)."""
     p, _ = pivots(n_pivots, segments)
@@ -160,7 +146,7 @@ def _linked(most: int, segments: int, n_pivots: int):
                 a, b = a[near], b[near]
                 hit = np.bitwise_count(fp[a] ^ fp[b]) <= most
                 if hit.any():
-                    parent = _roots(n, a[hit], b[hit], parent)
+                    parent = roots(n, a[hit], b[hit], parent)
             step += 1
         moved = np.flatnonzero(parent != np.arange(n))
         return rep[moved], rep[parent[moved]]
