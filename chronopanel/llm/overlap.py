@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, bounded_batches, parts, slices, written
+from .common import among, bounded_batches, parts, shuffled, slices, written
 from .components import components, roots
 
 BANDS, ROWS = 20, 5
@@ -156,8 +156,8 @@ def links(docs: DataFrame, id_col: str, text_col: str, words: int, least: float
     sets = written(marked.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "shingle-sets")
     met = sets.select("sid", F.explode("bands").alias("key"))
     low = written(met.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("key", "low"), "shingle-cells")
-    clusters = components(met.join(low, "key").where("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b")))
-    members = written(sets.select("sid", "id", "n").join(clusters.select(F.col("node").alias("sid"), F.col("root").alias("cluster")), "sid"), "shingle-clusters")
+    clusters = components(met.join(shuffled(low), "key").where("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b")))
+    members = written(sets.select("sid", "id", "n").join(shuffled(clusters.select(F.col("node").alias("sid"), F.col("root").alias("cluster"))), "sid"), "shingle-clusters")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / F.lit(block)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("m"))
     # an id with several texts brings all of them to each of its clusters; pairs are verified, so that does no harm
     mine = members.join(sizes, "cluster").select(F.col("id").alias("__i"), "cluster", "m").distinct()

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import overlap
-from .common import bounded_batches, documents, parts, slices, written
+from .common import bounded_batches, documents, parts, shuffled, slices, written
 from .components import components, roots
 
 SHINGLE = 4
@@ -180,7 +180,7 @@ def link_groups(distinct: DataFrame, most: int = MOST, segments: int = SEGMENTS,
     dealt = distinct.select("fp", "rep").mapInArrow(_dealt(segments, most, n_pivots), "key long, fp long, rep long")
     sizes = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     sizes = written(sizes, "pivot-cells")
-    met = dealt.join(sizes, "key")
+    met = dealt.join(shuffled(sizes), "key")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     met = met.withColumn("m", blocks).withColumn("own", own)
@@ -198,7 +198,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct = written(marked.groupBy("fp").agg(F.min("id").alias("low")).select("fp", "low"), "distinct-fingerprints")
     named = distinct.where("low IS NOT NULL").select("fp", F.col("low").alias("rep"))
     groups = link_groups(named, most, **tuning)
-    roots = distinct.join(groups, distinct.low == groups.node, "left").select("fp", F.coalesce("root", "low").alias("component_id"))
+    roots = distinct.join(shuffled(groups), distinct.low == groups.node, "left").select("fp", F.coalesce("root", "low").alias("component_id"))
     return marked.join(roots, "fp").select("id", "fp", "component_id")
 
 
